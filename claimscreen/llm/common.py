@@ -70,19 +70,27 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, WORD_GAP), lambda w: w != "")
 
 
-def bitmap_of(hashes: DataFrame, column: str, bits: int) -> Column:
-    """A scalar with a bitmap of the hashes' low bits, as an array of bits / 64 longs.
+def held(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """df with columns that are computed once a row.
 
-    Its size is fixed by the parameter, whatever the table holds; it only ever
-    lets too much through. bits: a power of two, 64 at least.
+    A generator of one row makes them: the optimizer copies the expressions of an
+    ordinary projection into every later use, filters and lambdas included.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def bitmap_of(hashes: DataFrame, column: str, bits: int) -> str:
+    """SQL of a literal array of bits / 64 longs, with the bits that the hashes' low bits name.
+
+    Its size is fixed by the parameter, whatever the table holds: a filter that
+    only ever lets too much through. bits: a power of two, 64 at least.
     """
-    spark = hashes.sparkSession
-    cells = bits // 64
     at = F.col(column).bitwiseAND(bits - 1)
-    filled = hashes.groupBy(F.shiftright(at, 6).alias("cell")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({column} & 63 as int))")).alias("set"))
-    dense = spark.range(0, cells, 1, 1).join(F.broadcast(filled), F.col("id") == F.col("cell"), "left")
-    listed = dense.agg(F.array_sort(F.collect_list(F.struct("id", F.coalesce("set", F.lit(0).cast("bigint")).alias("set")))).alias("all"))
-    return listed.select(F.transform("all", lambda x: x["set"]).alias("bitmap")).scalar()
+    filled = hashes.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("set"))
+    cells = [0] * (bits // 64)
+    for r in filled.collect():  # bits / 64 rows at most
+        cells[r["cell"]] = r["set"]
+    return f"cast(split('{','.join(map(str, cells))}', ',') as array<bigint>)"
 
 
 def in_bitmap(bitmap: str, value: str, bits: int) -> str:

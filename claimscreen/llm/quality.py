@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimscreen.llm.common import words_of
+from claimscreen.llm.common import held, words_of
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -42,15 +42,6 @@ class QualityLimits:
     max_lost_share: float = 0.70
 
 
-def window_hashes(words: Column, window: int) -> Column:
-    """A hash of each run of window words, built from runs of half the length."""
-    h, width = F.transform(words, lambda w: F.xxhash64(w)), 1
-    while width < window:
-        h = F.zip_with(h, F.slice(h, F.lit(width + 1), F.greatest(F.size(h), F.lit(1))), lambda a, b: F.xxhash64(a, b))
-        width *= 2
-    return F.slice(h, F.lit(1), F.greatest(F.size(words) - window + 1, F.lit(0)))
-
-
 def repeated_starts(h: Column) -> Column:
     """Sorted positions of the values that occur twice or more; nothing is sorted unless some do."""
     none = F.array().cast("array<int>")
@@ -71,25 +62,30 @@ def base_rules(rows: DataFrame, limits: QualityLimits = QualityLimits()) -> Data
     """rows(..., text) with the base columns added and the text dropped."""
     t = F.coalesce(F.col("text"), F.lit(""))
     length_without = lambda drop: F.length(F.translate(t, drop, "")).cast("bigint")
-    out = rows.withColumns(
+    own = list(rows.columns)
+    out = held(
+        rows,
         {
             "__words": words_of(t),
             "word_chars": length_without(BLANKS),
             "n_symbols": F.length(t) - length_without(SYMBOLS),
             "__lines": F.filter(F.split(t, "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0),
-        }
+        },
     )
-    out = out.withColumns(
-        {
-            "n_words": F.size("__words").cast("bigint"),
-            "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("bigint"),
-            "__h": window_hashes(F.col("__words"), limits.repeat_window),
-        }
-    )
-    out = out.withColumn("__starts", repeated_starts(F.col("__h")))
-    out = out.withColumn("n_repeat_words", covered(F.col("__starts"), limits.repeat_window))
+    counts = {"n_words": F.size("__words").cast("bigint"), "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("bigint")}
+    out = held(out, counts | {"__h1": F.transform("__words", lambda w: F.xxhash64(w))}).drop("text", "__words", "__lines")
+    width = 1
+    while width < limits.repeat_window:
+        # A hash of each run of words, from two runs of half its length; the last ones are short and cut off below.
+        h = F.col(f"__h{width}")
+        out = held(out, {f"__h{2 * width}": F.zip_with(h, F.slice(h, F.lit(width + 1), F.greatest(F.size(h), F.lit(1))), lambda a, b: F.xxhash64(a, b))})
+        width *= 2
+    out = held(out, {"__h": F.slice(F.col(f"__h{width}"), F.lit(1), F.greatest(F.col("n_words").cast("int") - width + 1, F.lit(0)))})
+    out = held(out, {"__starts": repeated_starts(F.col("__h"))})
+    out = held(out, {"n_repeat_words": covered(F.col("__starts"), limits.repeat_window)})
     failed = (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > limits.repeat_percent * F.col("n_words"))
-    return out.withColumn("base_failed", failed).drop("text", "__words", "__lines", "__h", "__starts")
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return out.select(*[c for c in own if c != "text"], *base, failed.alias("base_failed"))
 
 
 def normalised(line: Column) -> Column:
@@ -105,8 +101,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def line_table(rows: DataFrame, limits: QualityLimits) -> DataFrame:
     """host, key, h, n: a row for each line, with its hash and number of words."""
-    lines = rows.select("host", "key", F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.withColumn("line", normalised(F.col("line")))
+    lines = rows.select("host", "key", F.explode(F.split("text", "\n")).alias("raw"))
+    lines = held(lines, {"line": normalised(F.col("raw"))})
     return lines.select("host", "key", F.xxhash64("line").alias("h"), F.size(F.split("line", " ")).cast("bigint").alias("n")).filter(F.col("n") >= limits.min_line_words)
 
 

@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from claimscreen.llm import mixing, quality, simhash, tokenstore
+from claimscreen.llm import decontaminate, lines, mixing, quality, repeats, simhash, tokencount, tokenstore, windows
 from claimscreen.llm.common import documents, work_path
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", tokencount.line_sections(F.col("text")).alias("sections"))
+    return tokencount.token_counts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "tokens")
     tokenstore.write_store(documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
@@ -25,12 +31,28 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir)).drop("host", "key")
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, sf_dir), length=400)
+
+
+def op6_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.remove_repeated_windows(documents(spark, sf_dir), window=13)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "shard", "rank")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("key")
+
+
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_counts(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_token_store, op3_simhash, op4_quality, op7_mixing]
+    found = [op1_token_counts, op2_token_store, op3_simhash, op4_quality, op5_repeats, op6_windows, op7_mixing, op8_decontaminate, op10_lines]
     return {f.__name__: f for f in found}
 
 
