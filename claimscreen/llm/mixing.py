@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimscreen.llm.common import WORD_GAP, ship_code, stored
+from claimscreen.llm.common import WORD_GAP, ship_code, stored, words_of
 
 WEIGHTS = (3, 1, 2)
 
@@ -109,8 +109,12 @@ def draw_blocks(sizes: np.ndarray, keys: np.ndarray, quota: int, block: int, see
     return taken
 
 
+def row_key(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), F.col("doc_id").cast("bigint"), "text")
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, shards: int = 256, block: int = 64, seed: int = 7) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, shard, rank: rank orders a shard's documents after its local shuffle.
+    """doc_id, source, size, source_size, target, taken, shard, rank, key: rank orders a shard's documents after its local shuffle, key is row_key(seed).
 
     Nulls: a null text has size 0 and is taken 0 times, null sources form the
     last source, null ids hash as such. Repeated rows are separate documents.
@@ -118,7 +122,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
     weights the first weights are used; no documents give no rows.
     """
     ship_code(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("key"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), row_key(seed).alias("key"))
     rows = stored(rows.withColumn("shard", F.pmod("key", F.lit(shards)).cast("int")), "sizes")
     goals = stored(targets(rows, weights, share, cap), "targets")
     held = rows.groupBy("source", "shard").agg(F.sum("size").alias("held"))
@@ -152,7 +156,26 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
             at = np.flatnonzero(codes == i)
             taken[at] += draw_blocks(sizes[at], keys[at], int(pdf["quota"].iloc[at[0]]), block, (seed * 31 + shard) * 65_537 + int(sizes[at].sum()) % 65_537)
         rank = np.random.default_rng([seed, shard]).permutation(len(pdf))
-        return pdf.assign(taken=taken, rank=rank)[["number", "named", "source", "size", "source_size", "target", "taken", "shard", "rank"]]
+        return pdf.assign(taken=taken, rank=rank)[["number", "named", "source", "size", "source_size", "target", "taken", "shard", "rank", "key"]]
+
+    out = full.groupBy("shard").applyInPandas(draw, "number bigint, named boolean, source string, size bigint, source_size bigint, target double, taken bigint, shard int, rank bigint, key bigint")
+    return out.select(F.when(F.col("named"), F.col("number")).alias("doc_id"), "source", "size", "source_size", "target", "taken", "shard", "rank", "key")
 
-    out = full.groupBy("shard").applyInPandas(draw, "number bigint, named boolean, source string, size bigint, source_size bigint, target double, taken bigint, shard int, rank bigint")
-    return out.select(F.when(F.col("named"), F.col("number")).alias("doc_id"), "source", "size", "source_size", "target", "taken", "shard", "rank")
+
+def apply_mix(docs: DataFrame, seed: int = 7, **options) -> DataFrame:
+    """docs as the mix takes them: a row for each whole time, and one with the first words for a part of a time.
+
+    A part has as many words as the mix takes of it, joined by blanks, and its
+    length in n_chars if docs has that. Rows that are alike share what they are taken.
+    """
+    own = mix(docs, seed=seed, **options).groupBy(F.col("key").alias("__k")).agg(F.sum("taken").alias("__t"), F.max("size").alias("__s"), F.count("*").alias("__n"))
+    rows = docs.join(own.filter("__t > 0"), row_key(seed) == F.col("__k"))
+    rows = rows.withColumn("__t", F.expr("__t div __n"))
+    words = F.expr("array_append(array_repeat(__s, cast(__t div __s as int)), __t % __s)")
+    rows = rows.select("*", F.explode(F.filter(words, lambda n: n > 0)).alias("__w"))
+    part = F.col("__w") < F.col("__s")
+    text = F.when(part, F.array_join(F.slice(words_of(docs["text"]), F.lit(1), F.col("__w").cast("int")), " ")).otherwise(docs["text"])
+    out = rows.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("__w") < F.col("__s"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimscreen.llm import decontaminate, lines, mixing, quality, repeats, simhash, tokencount, tokenstore, windows
+from claimscreen.llm import decontaminate, lines, mixing, quality, repeats, simhash, tokencount, tokenstore, toxicity, windows
 from claimscreen.llm.common import documents, work_path
 
 
@@ -47,12 +47,17 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("key")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_counts(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_token_counts, op2_token_store, op3_simhash, op4_quality, op5_repeats, op6_windows, op7_mixing, op8_decontaminate, op10_lines]
+    found = [op1_token_counts, op2_token_store, op3_simhash, op4_quality, op5_repeats, op6_windows, op7_mixing, op8_decontaminate, op9_toxicity, op10_lines]
     return {f.__name__: f for f in found}
 
 

@@ -19,14 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from claimscreen.llm.common import id_and_text, ship_code, stored
+from claimscreen.llm.common import bitmap_of, held, id_and_text, in_bitmap, ship_code, stored, words_of
 from claimscreen.llm.components import components
 
 SEED = 42
 CHUNK = 1 << 16
+BITS = 1 << 22
 
 
-def fingerprint(text: str, shingle: int = 3) -> int:
+def fingerprint(text: str, shingle: int = 3, seed: int = SEED) -> int:
     """Bit i is set when over half of the shingles' XXH64 have it."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
@@ -36,21 +37,21 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     for start in range(0, n, CHUNK):
         some = words[start : min(start + CHUNK, n) + shingle - 1]
         parts = zip(*[some[k:] for k in range(shingle)]) if len(some) >= shingle else [some]
-        h = np.fromiter((xxh64_intdigest(b" ".join(p), SEED) for p in parts), dtype="<u8")
+        h = np.fromiter((xxh64_intdigest(b" ".join(p), seed) for p in parts), dtype="<u8")
         counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id, fp: the 64 bits as a signed long. Only texts go to Python."""
+def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = SEED) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long), key (the text's hash). Only texts go to Python."""
 
     ship_code(docs.sparkSession)
     @F.pandas_udf("bigint")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series(np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64))
+            yield pd.Series(np.array([fingerprint(t, shingle, seed) for t in texts], dtype=np.uint64).view(np.int64))
 
-    return id_and_text(docs).select("doc_id", of("text").alias("fp"))
+    return id_and_text(docs).select("doc_id", of("text").alias("fp"), F.xxhash64("text").alias("key"))
 
 
 def ball(radius: int) -> list[int]:
@@ -94,8 +95,54 @@ def near_duplicates(docs: DataFrame, max_bits: int = 2, shingle: int = 3) -> Dat
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, max_bits: int = 2, shingle: int = 3) -> DataFrame:
-    """Rows of docs whose doc_id is its component's smallest; all columns are kept. Rows without an id stay."""
-    heads = near_duplicates(docs, max_bits, shingle).filter("doc_id = component_id").select(F.col("doc_id").alias("__head")).distinct()
-    kept = docs.join(heads, docs["doc_id"] == heads["__head"], "left_semi")
+def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """key, set: hashes of the distinct word shingles of each distinct text (the whole sequence where it is shorter)."""
+    rows = held(id_and_text(docs).select(F.xxhash64("text").alias("key"), "text").dropDuplicates(["key"]), {"__h": F.transform(words_of(F.lower("text")), lambda w: F.xxhash64(w))})
+    runs = F.expr(f"transform(sequence(0, greatest(size(__h) - {shingle}, 0)), i -> xxhash64({', '.join(f'get(__h, i + {k})' for k in range(shingle))}))")
+    return held(rows.select("key", "__h"), {"set": F.array_distinct(runs)}).select("key", "set")
+
+
+def verified_groups(docs: DataFrame, similarity: float = 0.8, verify: int = 5, max_bits: int = 2, shingle: int = 1, seeds: tuple[int, ...] = (42, 43, 44)) -> DataFrame:
+    """key, component: distinct texts that are linked, by their hashes.
+
+    Candidates are texts whose fingerprints over `shingle` words are at most
+    max_bits apart under any of the seeds: a few edits move a word's fingerprint
+    by a bit or two, where one over longer shingles moves too far to be met.
+    Texts are linked when their sets of `verify`-word shingles have a Jaccard
+    similarity of `similarity` or more. Of the texts that share a fingerprint,
+    the one with the smallest hash stands for it.
+    """
+    candidates = None
+    for seed in seeds:
+        fps = stored(fingerprints(docs, shingle, seed).select("fp", "key").distinct(), "fingerprints")
+        heads = fps.groupBy("fp").agg(F.min("key").alias("head"))
+        same = fps.join(heads, "fp").select(F.col("head").alias("a"), F.col("key").alias("b"))
+        left, right = (heads.select(F.col("fp").alias(f), F.col("head").alias(h)) for f, h in (("f1", "h1"), ("f2", "h2")))
+        close = links(fps, max_bits)
+        close = close.join(left, F.col("a") == F.col("f1")).join(right, F.col("b") == F.col("f2")).select(F.col("h1").alias("a"), F.col("h2").alias("b"))
+        found = same.filter("a <> b").unionByName(close)
+        candidates = found if candidates is None else candidates.unionByName(found)
+    pairs = stored(candidates.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+    used = pairs.select(F.explode(F.array("a", "b")).alias("key"))
+    rows = docs.select("doc_id", "text").filter(F.expr(in_bitmap(bitmap_of(used, "key", BITS), "xxhash64(coalesce(text, ''))", BITS)))
+    sets = stored(shingle_sets(rows, verify), "sets")
+    for side in "ab":
+        own = sets.select(F.col("key").alias(f"k{side}"), F.col("set").alias(f"s{side}"))
+        pairs = pairs.join(own, F.col(side) == F.col(f"k{side}")).drop(f"k{side}")
+    both = held(pairs, {"n": F.size(F.array_intersect("sa", "sb"))})
+    alike = both.filter(F.col("n") >= similarity * (F.size("sa") + F.size("sb") - F.col("n"))).select("a", "b")
+    return components(alike).select(F.col("node").alias("key"), "component")
+
+
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """Rows of docs that are the first of their group by doc_id, with all their columns.
+
+    Rows of the same text are one group without further ado. Rows without an id
+    stay, as do rows that repeat the first one's id.
+    """
+    groups = verified_groups(docs, **options)
+    rows = id_and_text(docs).select("doc_id", F.xxhash64("text").alias("k"))
+    named = rows.join(groups, F.col("k") == F.col("key"), "left").withColumn("g", F.coalesce("component", "k"))
+    heads = named.groupBy("g").agg(F.min("doc_id").alias("__head")).select("__head").distinct()
+    kept = docs.join(heads, docs["doc_id"].cast("bigint") == heads["__head"], "left_semi")
     return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
