@@ -155,10 +155,10 @@ def ask_strings(docs: list, answers: dict, length: int, n_bins: int) -> Iterator
 
 def ranks_of(pairs: np.ndarray) -> np.ndarray:
     """Dense ranks of uint64 values."""
-    order = np.argsort(pairs, kind="stable")
-    new = np.concatenate([[False], pairs[order][1:] != pairs[order][:-1]])
-    out = np.empty(len(pairs), np.int64)
-    out[order] = np.cumsum(new)
+    order = np.argsort(pairs)
+    ranked = pairs[order]
+    out = np.empty(len(pairs), np.int32)
+    out[order] = np.cumsum(np.concatenate([[False], ranked[1:] != ranked[:-1]]), dtype=np.int32)
     return out
 
 
@@ -177,7 +177,7 @@ def suffix_array(data: np.ndarray, starts: np.ndarray, limits: np.ndarray, depth
     levels, width = [(8, ranks_of(eight))], 8
     while width < depth:
         r = levels[-1][1]
-        ahead = np.concatenate([r[width:] + 1, np.zeros(min(width, n), np.int64)])[:n]
+        ahead = np.concatenate([r[width:] + 1, np.zeros(min(width, n), np.int32)])[:n]
         levels.append((2 * width, ranks_of((r.astype(np.uint64) << np.uint64(32)) | ahead.astype(np.uint64))))
         width *= 2
     order = np.lexsort((starts, levels[-1][1][starts]))
@@ -250,26 +250,52 @@ def answer_strings(kind: int, table: pa.Table, length: int) -> list[bytes]:
         _, often, places = folded(a, b)
         yes = often[places] | several.astype(bool)
         return [np.packbits(yes[s]).tobytes() if yes[s].any() else b"" for s in rows_of(sizes)]
-    bodies = []
+    bodies: list[bytes] = []
     for lengths, raw in zip(table["digests"].to_pylist(), table["bodies"].to_pylist(), strict=True):
         cuts = np.concatenate([[0], np.cumsum(np.frombuffer(lengths, "<u4"), dtype=np.int64)]).tolist()
         bodies += [raw[s:e] for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
+    marks = np.frombuffer(b"".join(table["hashes"].to_pylist()), "<u8")
+    out: list[list[np.ndarray]] = [[] for _ in sizes]
+    home = np.repeat(np.arange(len(sizes)), sizes)
+    offset = np.concatenate([[0], np.cumsum(sizes)])
+    for some in portions(marks, [len(x) for x in bodies]):
+        rows = runs_in([bodies[i] for i in some], length)
+        at = some[rows[:, 0]]
+        rows[:, 0] = at - offset[home[at]]
+        order = np.argsort(home[at], kind="stable")
+        rows, homes = rows[order], home[at][order]
+        for h in np.unique(homes).tolist():
+            out[h].append(rows[homes == h])
+    return [np.concatenate(x).astype("<i4").tobytes() if x else b"" for x in out]
+
+
+def portions(marks: np.ndarray, sizes: list[int], most: int = 1 << 20) -> Iterator[np.ndarray]:
+    """Contexts by minimizer, whole groups together, about `most` bytes at a time: strings of other minimizers are never equal."""
+    order = np.argsort(marks, kind="stable")
+    start, total = 0, 0
+    for k, i in enumerate(order.tolist()):
+        if total >= most and marks[i] != marks[order[k - 1]]:
+            yield order[start:k]
+            start, total = k, 0
+        total += sizes[i]
+    if start < len(order):
+        yield order[start:]
+
+
+def runs_in(bodies: list[bytes], length: int) -> np.ndarray:
+    """(context, start, end) of the bytes that maximal repeats cover."""
     groups, edges = repeats_in(bodies, length)
     change = np.zeros(int(edges[-1]) + 1, np.int64)
     for n, places in groups:
-        np.add.at(change, places, 1)
-        np.add.at(change, places + n, -1)
+        change[places] += 1  # the places of a group are distinct
+        change[places + n] -= 1
     gone = np.cumsum(change)[:-1] > 0
-    # Runs, cut where contexts meet.
-    starts = np.flatnonzero(gone & np.concatenate([[True], ~gone[:-1]]) | gone & np.isin(np.arange(len(gone)), edges))
-    ends = np.flatnonzero(gone & np.concatenate([~gone[1:], [True]]) | gone & np.isin(np.arange(1, len(gone) + 1), edges)) + 1
+    first, last = np.zeros(len(gone), bool), np.zeros(len(gone), bool)
+    first[edges[:-1]] = last[edges[1:] - 1] = True
+    starts = np.flatnonzero(gone & (first | np.concatenate([[True], ~gone[:-1]])))
+    ends = np.flatnonzero(gone & (last | np.concatenate([~gone[1:], [True]]))) + 1
     which = np.searchsorted(edges, starts, side="right") - 1
-    rows = np.stack([which, starts - edges[which], ends - edges[which]], axis=1)
-    out = []
-    for s in rows_of(sizes):
-        own = rows[(which >= s.start) & (which < s.stop)] - [s.start, 0, 0]
-        out.append(own.astype("<i4").tobytes() if len(own) else b"")
-    return out
+    return np.stack([which, starts - edges[which], ends - edges[which]], axis=1)
 
 
 def removed_spans(c: Contexts, answers: dict, length: int, n_bins: int) -> list[np.ndarray]:
