@@ -22,19 +22,26 @@ from pyspark.sql import functions as F
 from claimscreen.llm.common import id_and_text, partitions, ship_code
 
 NO_ID = -(2**63)
-BATCHES_PER_PARTITION = 4
 ANSWER = "batch bigint, kind int, bin int, data binary"
 
 
 def dealt(docs: DataFrame) -> DataFrame:
-    """batch, number (NO_ID for a null id), text of every row, bucketed by batch. Rows of one id and text share a batch."""
+    """batch, number (NO_ID for a null id), text of every row, bucketed by batch. Rows of one id and text share a batch.
+
+    There are as many batches as shuffle partitions, named so that each has a
+    bucket of its own. The table stays in the session's catalog.
+    """
     spark = docs.sparkSession
     ship_code(spark)
-    n = BATCHES_PER_PARTITION * partitions(spark)
-    rows = id_and_text(docs).select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("batch"), F.coalesce("doc_id", F.lit(NO_ID)).alias("number"), "text")
-    name = f"claimscreen_batches_{uuid.uuid4().hex}"
-    rows.repartition(n, "batch").write.format("parquet").bucketBy(n, "batch").saveAsTable(name)
-    return spark.table(name)
+    n = partitions(spark)
+    name = F.pmod(F.hash("id"), F.lit(n))
+    names = {r["b"]: r["v"] for r in spark.range(0, 40 * n, 1, 1).groupBy(name.alias("b")).agg(F.min("id").alias("v")).collect()}
+    listed = F.split(F.lit(",".join(str(names.get(b, b)) for b in range(n))), ",").cast("array<bigint>")
+    batch = F.get(listed, F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
+    rows = id_and_text(docs).select(batch.alias("batch"), F.coalesce("doc_id", F.lit(NO_ID)).alias("number"), "text")
+    table = f"claimscreen_batches_{uuid.uuid4().hex}"
+    rows.repartition(n, "batch").write.format("parquet").bucketBy(n, "batch").saveAsTable(table)
+    return spark.table(table)
 
 
 def in_order(table: pa.Table) -> list[tuple[int, str]]:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from claimscreen.llm.common import bitmap_of, held, id_and_text, in_bitmap, ship_code, stored, words_of
+from claimscreen.llm.common import bitmap_of, held, id_and_text, in_bitmap, partitions, ship_code, stored, words_of
 from claimscreen.llm.components import components
 
 SEED = 42
@@ -68,7 +68,8 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     max_bits, all that meet are within reach of each other and a star from the
     smallest stands for all pairs; else pairs are verified one by one.
     """
-    points = fps.select("fp").distinct().select("fp", F.explode(F.transform(F.array(*map(F.lit, ball((max_bits + 1) // 2))), lambda m: F.col("fp").bitwiseXOR(m))).alias("point"))
+    # Few bytes here, many rows below: the fingerprints are dealt out again before they multiply.
+    points = fps.select("fp").distinct().repartition(partitions(fps.sparkSession), "fp").select("fp", F.explode(F.transform(F.array(*map(F.lit, ball((max_bits + 1) // 2))), lambda m: F.col("fp").bitwiseXOR(m))).alias("point"))
     met = points.groupBy("point").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1")
     met = stored(met, "met")
     pairs = met.filter("n = 2").select("a", "b")
