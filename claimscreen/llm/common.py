@@ -96,3 +96,17 @@ def bitmap_of(hashes: DataFrame, column: str, bits: int) -> str:
 def in_bitmap(bitmap: str, value: str, bits: int) -> str:
     """SQL: whether the bit of value is set."""
     return f"getbit(element_at({bitmap}, cast(shiftright({value} & {bits - 1}L, 6) + 1 as int)), cast({value} & 63L as int)) = 1"
+
+
+def possibly_among(rows: DataFrame, value: str, hashes: DataFrame, column: str, bits: int = 1 << 22) -> DataFrame:
+    """rows whose value may be one of the hashes: a filter before a join, so that only likely partners are shuffled.
+
+    One row with the bitmap of the hashes, bits / 8 bytes whatever their number,
+    is broadcast. Unlike a literal it is not part of the plan's text.
+    """
+    spark = rows.sparkSession
+    at = F.col(column).bitwiseAND(bits - 1)
+    filled = hashes.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("set"))
+    dense = spark.range(0, bits // 64, 1, 1).join(filled, F.col("id") == F.col("cell"), "left").select("id", F.coalesce("set", F.lit(0).cast("bigint")).alias("set"))
+    one = dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "set"))), lambda x: x["set"]).alias("__bitmap"))
+    return rows.join(F.broadcast(stored(one, "bitmap")), F.expr(in_bitmap("__bitmap", value, bits))).drop("__bitmap")

@@ -19,12 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from claimscreen.llm.common import bitmap_of, held, id_and_text, in_bitmap, partitions, ship_code, stored, words_of
+from claimscreen.llm.common import held, id_and_text, partitions, possibly_among, ship_code, stored, words_of
 from claimscreen.llm.components import components
 
 SEED = 42
 CHUNK = 1 << 16
-BITS = 1 << 22
 
 
 def fingerprint(text: str, shingle: int = 3, seed: int = SEED) -> int:
@@ -125,7 +124,7 @@ def verified_groups(docs: DataFrame, similarity: float = 0.8, verify: int = 5, m
         candidates = found if candidates is None else candidates.unionByName(found)
     pairs = stored(candidates.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
     used = pairs.select(F.explode(F.array("a", "b")).alias("key"))
-    rows = docs.select("doc_id", "text").filter(F.expr(in_bitmap(bitmap_of(used, "key", BITS), "xxhash64(coalesce(text, ''))", BITS)))
+    rows = possibly_among(docs.select("doc_id", "text"), "xxhash64(coalesce(text, ''))", used, "key")
     sets = stored(shingle_sets(rows, verify), "sets")
     for side in "ab":
         own = sets.select(F.col("key").alias(f"k{side}"), F.col("set").alias(f"s{side}"))
