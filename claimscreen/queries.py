@@ -77,7 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "zscore_by_provider": on_claims(lambda c: z(c, ["provider_id"]), "claim_id", "charge_zscore_outlier"),
         "iqr_global": on_claims(iqr, "claim_id", "charge_iqr_outlier"),
         "iqr_by_procedure": on_claims(lambda c: iqr(c, ["procedure_code"]), "claim_id", "charge_iqr_outlier"),
-        "provider_ratio": on_claims(provider_ratio, "claim_id", r6("provider_avg_charge"), r6("charge_deviation_ratio"), "provider_billing_outlier"),
+        "provider_ratio": on_claims(provider_ratio, "claim_id", "round(provider_avg_charge + 1e-9, 6) as provider_avg_charge", "round(charge_deviation_ratio + 1e-9, 6) as charge_deviation_ratio", "provider_billing_outlier"),
         "temporal_spike": on_claims(lambda c: outliers.temporal_spikes(c, cfg=CFG), "claim_id", "temporal_spike_flag"),
         "first_digit_global": on_claims(lambda c: first_digit.analyze(c, threshold=DIGIT_THRESHOLD), "claim_id", "benfords_anomaly"),
         "first_digit_by_provider": on_claims(lambda c: first_digit.analyze(c, group_by="provider_id"), "claim_id", "benfords_anomaly"),
@@ -237,7 +237,7 @@ SELECT provider_id, count(*) AS flagged_claims, round(avg(score), 6) AS {name},
         "zscore_by_provider": f"{grouped_z('provider_id')} SELECT claim_id, {z} AS charge_zscore_outlier FROM claims JOIN g ON provider_id = k",
         "iqr_global": f"{_CLAIMS}, g AS (SELECT {quartiles} FROM claims) SELECT claim_id, {iqr} AS charge_iqr_outlier FROM claims CROSS JOIN g",
         "iqr_by_procedure": f"{_CLAIMS}, g AS (SELECT procedure_code AS k, {quartiles} FROM claims GROUP BY procedure_code) SELECT claim_id, {iqr} AS charge_iqr_outlier FROM claims JOIN g ON procedure_code = k",
-        "provider_ratio": f"{_CLAIMS}, own AS (SELECT provider_id AS k1, procedure_code AS k2, sum(cents) / 100.0 / count(*) AS a FROM claims GROUP BY provider_id, procedure_code), market AS (SELECT procedure_code AS k3, sum(cents) / 100.0 / count(*) AS m FROM claims GROUP BY procedure_code), ratio AS (SELECT k1, k2, a, CASE WHEN m > 0 THEN a / m ELSE 1.0 END AS r FROM own JOIN market ON k2 = k3) SELECT claim_id, round(CAST(a AS DOUBLE), 6) AS provider_avg_charge, round(CAST(r AS DOUBLE), 6) AS charge_deviation_ratio, r > 2.0 OR r < 0.5 AS provider_billing_outlier FROM claims JOIN ratio ON provider_id = k1 AND procedure_code = k2",
+        "provider_ratio": f"{_CLAIMS}, own AS (SELECT provider_id AS k1, procedure_code AS k2, sum(cents) / 100.0 / count(*) AS a FROM claims GROUP BY provider_id, procedure_code), market AS (SELECT procedure_code AS k3, sum(cents) / 100.0 / count(*) AS m FROM claims GROUP BY procedure_code), ratio AS (SELECT k1, k2, a, CASE WHEN m > 0 THEN a / m ELSE 1.0 END AS r FROM own JOIN market ON k2 = k3) SELECT claim_id, round(CAST(a AS DOUBLE) + 1e-9, 6) AS provider_avg_charge, round(CAST(r AS DOUBLE) + 1e-9, 6) AS charge_deviation_ratio, r > 2.0 OR r < 0.5 AS provider_billing_outlier FROM claims JOIN ratio ON provider_id = k1 AND procedure_code = k2",
         "temporal_spike": f"{_CLAIMS}, h AS (SELECT claim_id, cents / 100.0 AS x, avg(cents / 100.0) OVER (PARTITION BY provider_id ORDER BY year(service_date), weekofyear(service_date), service_date, claim_id ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS a FROM claims) SELECT claim_id, coalesce(a > 0 AND x > 3 * a, false) AS temporal_spike_flag FROM h",
         "first_digit_global": f"{_CLAIMS}, shares AS (SELECT d, count(*) * 1.0 / sum(count(*)) OVER () AS share FROM (SELECT {_DIGIT} AS d FROM claims) WHERE d IS NOT NULL GROUP BY d), over AS (SELECT s.d FROM shares s JOIN {_EXPECTED} ON s.d = e.d WHERE s.share - e.share > {DIGIT_THRESHOLD}) SELECT claim_id, coalesce({_DIGIT} IN (SELECT d FROM over), false) AS benfords_anomaly FROM claims",
         "first_digit_by_provider": f"{_CLAIMS}, counts AS (SELECT provider_id AS k, d, count(*) AS n FROM (SELECT provider_id, {_DIGIT} AS d FROM claims) WHERE d IS NOT NULL GROUP BY provider_id, d), g AS (SELECT k, max(abs(f - share)) > 0.15 AS bad FROM (SELECT k, d, n * 1.0 / sum(n) OVER (PARTITION BY k) AS f FROM counts) c JOIN {_EXPECTED} ON c.d = e.d GROUP BY k) SELECT claim_id, coalesce(bad, false) AS benfords_anomaly FROM claims LEFT JOIN g ON provider_id = k",
