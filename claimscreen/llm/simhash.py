@@ -24,6 +24,8 @@ from claimscreen.llm.components import components
 
 SEED = 42
 CHUNK = 1 << 16
+#: Cells of a set's bitmap, by which unlike pairs are told apart before whole sets are compared.
+CELLS = 4096
 
 
 def fingerprint(text: str, shingle: int = 3, seed: int = SEED) -> int:
@@ -68,17 +70,22 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     smallest stands for all pairs; else pairs are verified one by one.
     """
     # Few bytes here, many rows below: the fingerprints are dealt out again before they multiply.
-    points = fps.select("fp").distinct().repartition(partitions(fps.sparkSession), "fp").select("fp", F.explode(F.transform(F.array(*map(F.lit, ball((max_bits + 1) // 2))), lambda m: F.col("fp").bitwiseXOR(m))).alias("point"))
-    met = points.groupBy("point").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1")
+    n, masks = partitions(fps.sparkSession), F.array(*map(F.lit, ball((max_bits + 1) // 2)))
+    dealt = fps.select("fp").distinct().repartition(n, "fp").select("fp", F.posexplode(masks).alias("at", "mask"))
+    # A point and the mask's number travel; the fingerprint follows from them.
+    coded = dealt.select(F.col("fp").bitwiseXOR(F.col("mask")).alias("point"), F.col("at").cast("tinyint").alias("at") if max_bits <= 2 else "at")
+    points = lambda rows: rows.select("point", F.col("point").bitwiseXOR(F.get(masks, F.col("at").cast("int"))).alias("fp"))
+    met = points(coded.repartition(n, "point")).groupBy("point").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1")
     met = stored(met, "met")
     pairs = met.filter("n = 2").select("a", "b")
-    more = met.filter("n > 2").select(F.col("point").alias("at"), "a")
-    rest = points.join(more, F.col("point") == F.col("at"))
+    more = met.filter("n > 2").select(F.col("point").alias("p"), "a")
+    crowded = points(possibly_among(coded, "point", more, "p"))
+    rest = crowded.join(more, F.col("point") == F.col("p"))
     if max_bits % 2 == 0:
         rest = rest.select("a", F.col("fp").alias("b"))
     else:
-        others = points.join(more, F.col("point") == F.col("at")).select(F.col("at").alias("p2"), F.col("fp").alias("b"))
-        rest = rest.join(others, (F.col("at") == F.col("p2")) & (F.col("fp") < F.col("b"))).select(F.col("fp").alias("a"), "b")
+        others = crowded.join(more, F.col("point") == F.col("p")).select(F.col("p").alias("p2"), F.col("fp").alias("b"))
+        rest = rest.join(others, (F.col("p") == F.col("p2")) & (F.col("fp") < F.col("b"))).select(F.col("fp").alias("a"), "b")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     return pairs.unionByName(rest).filter(near & (F.col("a") != F.col("b"))).distinct()
 
@@ -102,6 +109,16 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return held(rows.select("key", "__h"), {"set": F.array_distinct(runs)}).select("key", "set")
 
 
+def sketch(sets: pd.Series) -> pd.Series:
+    """A bitmap of CELLS cells, set where the hash of an element falls. Sets differ in at least as many elements as their bitmaps do in cells."""
+    out = []
+    for own in sets:
+        cells = np.zeros(CELLS, dtype=np.uint8)
+        cells[np.asarray(own, dtype=np.int64) & (CELLS - 1)] = 1
+        out.append(np.packbits(cells, bitorder="little").view("<i8"))
+    return pd.Series(out)
+
+
 def verified_groups(docs: DataFrame, similarity: float = 0.8, verify: int = 5, max_bits: int = 2, shingle: int = 1, seeds: tuple[int, ...] = (42, 43, 44)) -> DataFrame:
     """key, component: distinct texts that are linked, by their hashes.
 
@@ -125,7 +142,16 @@ def verified_groups(docs: DataFrame, similarity: float = 0.8, verify: int = 5, m
     pairs = stored(candidates.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
     used = pairs.select(F.explode(F.array("a", "b")).alias("key"))
     rows = possibly_among(docs.select("doc_id", "text"), "xxhash64(coalesce(text, ''))", used, "key")
-    sets = stored(shingle_sets(rows, verify), "sets")
+    sets = shingle_sets(rows, verify)
+    sets = stored(sets.select("key", "set", F.size("set").alias("n"), F.pandas_udf(sketch, "array<bigint>")("set").alias("sketch")), "sets")
+    small = pairs
+    for side in "ab":
+        own = sets.select(F.col("key").alias(f"k{side}"), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"s{side}"))
+        small = small.join(own, F.col(side) == F.col(f"k{side}")).drop(f"k{side}")
+    # Of na + nb - 2 * common elements in one set only, at least the differing cells; similarity bounds them.
+    differing = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
+    total = F.col("na") + F.col("nb")
+    pairs = stored(small.filter(differing * (1 + similarity) <= (1 - similarity) * total + 1e-6).select("a", "b"), "close")
     for side in "ab":
         own = sets.select(F.col("key").alias(f"k{side}"), F.col("set").alias(f"s{side}"))
         pairs = pairs.join(own, F.col(side) == F.col(f"k{side}")).drop(f"k{side}")
