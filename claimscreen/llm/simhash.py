@@ -26,6 +26,8 @@ SEED = 42
 CHUNK = 1 << 16
 #: Cells of a set's bitmap, by which unlike pairs are told apart before whole sets are compared.
 CELLS = 4096
+#: Groups of more texts are compared in rounds: of those left apart, one in so many is compared with all others.
+CROWD, RATES = 64, (64, 8, 1)
 
 
 def fingerprint(text: str, shingle: int = 3, seed: int = SEED) -> int:
@@ -119,32 +121,9 @@ def sketch(sets: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def verified_groups(docs: DataFrame, similarity: float = 0.8, verify: int = 5, max_bits: int = 2, shingle: int = 1, seeds: tuple[int, ...] = (42, 43, 44)) -> DataFrame:
-    """key, component: distinct texts that are linked, by their hashes.
-
-    Candidates are texts whose fingerprints over `shingle` words are at most
-    max_bits apart under any of the seeds: a few edits move a word's fingerprint
-    by a bit or two, where one over longer shingles moves too far to be met.
-    Texts are linked when their sets of `verify`-word shingles have a Jaccard
-    similarity of `similarity` or more. Of the texts that share a fingerprint,
-    the one with the smallest hash stands for it.
-    """
-    candidates = None
-    for seed in seeds:
-        fps = stored(fingerprints(docs, shingle, seed).select("fp", "key").distinct(), "fingerprints")
-        heads = fps.groupBy("fp").agg(F.min("key").alias("head"))
-        same = fps.join(heads, "fp").select(F.col("head").alias("a"), F.col("key").alias("b"))
-        left, right = (heads.select(F.col("fp").alias(f), F.col("head").alias(h)) for f, h in (("f1", "h1"), ("f2", "h2")))
-        close = links(fps, max_bits)
-        close = close.join(left, F.col("a") == F.col("f1")).join(right, F.col("b") == F.col("f2")).select(F.col("h1").alias("a"), F.col("h2").alias("b"))
-        found = same.filter("a <> b").unionByName(close)
-        candidates = found if candidates is None else candidates.unionByName(found)
-    pairs = stored(candidates.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
-    used = pairs.select(F.explode(F.array("a", "b")).alias("key"))
-    rows = possibly_among(docs.select("doc_id", "text"), "xxhash64(coalesce(text, ''))", used, "key")
-    sets = shingle_sets(rows, verify)
-    sets = stored(sets.select("key", "set", F.size("set").alias("n"), F.pandas_udf(sketch, "array<bigint>")("set").alias("sketch")), "sets")
-    small = pairs
+def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of keys whose sets have a Jaccard similarity of `similarity` or more. Whole sets travel only where bitmaps do not rule the pair out."""
+    small = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
     for side in "ab":
         own = sets.select(F.col("key").alias(f"k{side}"), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"s{side}"))
         small = small.join(own, F.col(side) == F.col(f"k{side}")).drop(f"k{side}")
@@ -155,9 +134,66 @@ def verified_groups(docs: DataFrame, similarity: float = 0.8, verify: int = 5, m
     for side in "ab":
         own = sets.select(F.col("key").alias(f"k{side}"), F.col("set").alias(f"s{side}"))
         pairs = pairs.join(own, F.col(side) == F.col(f"k{side}")).drop(f"k{side}")
-    both = held(pairs, {"n": F.size(F.array_intersect("sa", "sb"))})
-    alike = both.filter(F.col("n") >= similarity * (F.size("sa") + F.size("sb") - F.col("n"))).select("a", "b")
-    return components(alike).select(F.col("node").alias("key"), "component")
+    both = held(pairs, {"c": F.size(F.array_intersect("sa", "sb")), "t": F.size("sa") + F.size("sb")})
+    return stored(both.filter(F.col("c") >= similarity * (F.col("t") - F.col("c")) - 1e-9).select("a", "b"), "alike")
+
+
+def linked(met: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """node, component of the keys in met(g, key, n): the same as if all pairs of a g were compared.
+
+    First all are compared with the smallest key of their g. Where a g's members
+    are in several components after that, those outside of its largest one are
+    compared with all members of other components: in small groups all at once,
+    in crowded ones first a few, as they may join the rest. In the last round
+    none is left out. n, the size of a key's set, rules out unlike sizes.
+    """
+    met = stored(met, "met")
+    heads = met.groupBy("g").agg(F.min(F.struct("key", "n")).alias("head"), F.count("*").alias("m")).filter("m > 1").withColumnRenamed("g", "g2")
+    crowds = stored(met.join(heads, F.col("g") == F.col("g2")).select("g", "key", "n", "head", "m"), "crowds")
+    sizes = lambda x, y: F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9
+    links = alike(crowds.filter(sizes(F.col("n"), F.col("head.n"))).select(F.col("head.key").alias("a"), F.col("key").alias("b")), sets, similarity)
+    joined = stored(components(links), "components")
+    crowds = crowds.filter("m > 2").select("g", "key", "n", "m")
+    for i, rate in enumerate(RATES):
+        rows = crowds.join(joined, crowds["key"] == joined["node"], "left").select("g", "key", "n", "m", F.coalesce("component", "key").alias("c"))
+        parts = rows.groupBy("g", "c").agg(F.count("*").alias("k")).groupBy("g").agg(F.max(F.struct("k", "c")).alias("main"), F.count("*").alias("parts"))
+        parts = parts.filter("parts > 1").select(F.col("g").alias("g2"), F.col("main.c").alias("main"))
+        rows = stored(rows.join(parts, F.col("g") == F.col("g2")).drop("g2"), "apart")
+        if rows.isEmpty():
+            break
+        turn = F.pmod("key", F.lit(rate)) == 0
+        first = rows.filter((F.col("c") != F.col("main")) & (((F.col("m") <= CROWD) | turn) if i == 0 else turn))
+        first = first.select(F.col("g").alias("g2"), F.col("key").alias("a"), F.col("c").alias("c2"), F.col("n").alias("n2"))
+        pairs = rows.join(first, (F.col("g") == F.col("g2")) & (F.col("c") != F.col("c2")) & sizes(F.col("n"), F.col("n2"))).select("a", F.col("key").alias("b"))
+        links = stored(links.unionByName(alike(pairs, sets, similarity)), "links")
+        joined = stored(components(links), "components")
+        crowds = rows.filter(F.col("m") > CROWD).select("g", "key", "n", "m")
+    return joined.select("node", "component")
+
+
+def verified_groups(docs: DataFrame, similarity: float = 0.8, verify: int = 5, max_bits: int = 2, shingle: int = 1, seeds: tuple[int, ...] = (42, 43, 44)) -> DataFrame:
+    """key, component: distinct texts that are linked, by their hashes.
+
+    Candidates are texts whose fingerprints over `shingle` words are at most
+    max_bits apart under any of the seeds: a few edits move a word's fingerprint
+    by a bit or two, where one over longer shingles moves too far to be met.
+    Texts are linked when their sets of `verify`-word shingles have a Jaccard
+    similarity of `similarity` or more; a candidate is no link, so all that meet
+    on a point are compared unless they are in one component anyway.
+    """
+    sets = shingle_sets(docs, verify)
+    sets = stored(sets.select("key", "set", F.size("set").alias("n"), F.pandas_udf(sketch, "array<bigint>")("set").alias("sketch")), "sets")
+    masks = F.array(*map(F.lit, ball((max_bits + 1) // 2)))
+    met = None
+    for seed in seeds:
+        fps = stored(fingerprints(docs, shingle, seed).select("fp", "key").distinct(), "fingerprints")
+        points = fps.select("key", F.explode(F.transform(masks, lambda x: F.xxhash64(F.lit(seed), F.col("fp").bitwiseXOR(x)))).alias("g"))
+        met = points if met is None else met.unionByName(points)
+    several = met.groupBy("g").agg(F.count("*").alias("m")).filter("m > 1").select(F.col("g").alias("g2"))
+    met = met.join(several, F.col("g") == F.col("g2")).select("g", "key")
+    own = sets.select(F.col("key").alias("k2"), "n")
+    met = met.join(own, F.col("key") == F.col("k2")).select("g", "key", "n")
+    return linked(met, sets, similarity).select(F.col("node").alias("key"), "component")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
