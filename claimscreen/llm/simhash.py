@@ -6,6 +6,9 @@ meeting on a point are verified and linked, and linked ones form components.
 
 Null texts count as empty and have fingerprint zero; null ids are the smallest
 of their component only when alone in it. Repeated rows share a fingerprint.
+
+The pipeline's stage (keep_one) has a contract in Jaccard similarity, which no
+SimHash distance decides: its candidates come from prefixes of shingle sets.
 """
 
 from __future__ import annotations
@@ -19,13 +22,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from claimscreen.llm.common import held, id_and_text, partitions, possibly_among, ship_code, stored, words_of
+from claimscreen.llm.common import held, id_and_text, in_bitmap, partitions, possibly_among, ship_code, stored, words_of
 from claimscreen.llm.components import components
 
 SEED = 42
 CHUNK = 1 << 16
 #: Cells of a set's bitmap, by which unlike pairs are told apart before whole sets are compared.
 CELLS = 4096
+#: Cells of the small bitmap that is compared before it: a cell is set where an odd number of elements falls.
+PARITY = 512
+#: Shingles in this many of the texts sampled, one in SAMPLE, come last in the order of a set.
+COMMON, SAMPLE = 4, 16
 #: Groups of more texts are compared in rounds: of those left apart, one in so many is compared with all others.
 CROWD, RATES = 64, (64, 8, 1)
 
@@ -112,25 +119,48 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def sketch(sets: pd.Series) -> pd.Series:
-    """A bitmap of CELLS cells, set where the hash of an element falls. Sets differ in at least as many elements as their bitmaps do in cells."""
+    """Two bitmaps, of PARITY and of CELLS cells. Sets differ in at least as many elements as either bitmaps do in cells."""
     out = []
     for own in sets:
+        own = np.asarray(own, dtype=np.int64)
+        odd = (np.bincount((own >> 20) & (PARITY - 1), minlength=PARITY) & 1).astype(np.uint8)
         cells = np.zeros(CELLS, dtype=np.uint8)
-        cells[np.asarray(own, dtype=np.int64) & (CELLS - 1)] = 1
-        out.append(np.packbits(cells, bitorder="little").view("<i8"))
+        cells[own & (CELLS - 1)] = 1
+        out.append(np.packbits(np.concatenate([odd, cells]), bitorder="little").view("<i8"))
     return pd.Series(out)
 
 
+def ordered_sets(docs: DataFrame, shingle: int, bits: int = 1 << 22) -> DataFrame:
+    """key, set, n, odd, sketch: shingle_sets in one order for all, in which shingles of many texts come last.
+
+    Which ones are common is read off a sample into a bitmap of fixed size. The
+    order decides how many texts meet, not which pairs are found.
+    """
+    spark = docs.sparkSession
+    some = shingle_sets(docs.filter(F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(SAMPLE)) == 0), shingle)
+    common = some.select(F.explode("set").alias("e")).groupBy("e").agg(F.count("*").alias("c")).filter(F.col("c") >= COMMON)
+    filled = common.select(F.col("e").bitwiseAND(bits - 1).alias("at")).groupBy(F.shiftright("at", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("set"))
+    dense = spark.range(0, bits // 64, 1, 1).join(filled, F.col("id") == F.col("cell"), "left").select("id", F.coalesce("set", F.lit(0).cast("bigint")).alias("set"))
+    one = stored(dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "set"))), lambda x: x["set"]).alias("__bitmap")), "common")
+    often = in_bitmap("__bitmap", "e", bits)
+    rows = shingle_sets(docs, shingle).withColumnRenamed("set", "__s").join(F.broadcast(one))
+    rows = held(rows, {"set": F.expr(f"concat(sort_array(filter(__s, e -> not ({often}))), sort_array(filter(__s, e -> {often})))")})
+    rows = rows.select("key", "set", F.size("set").alias("n"), F.pandas_udf(sketch, "array<bigint>")("set").alias("s"))
+    return stored(rows.select("key", "set", "n", F.slice("s", 1, PARITY // 64).alias("odd"), F.slice("s", PARITY // 64 + 1, CELLS // 64).alias("sketch")), "sets")
+
+
 def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) of keys whose sets have a Jaccard similarity of `similarity` or more. Whole sets travel only where bitmaps do not rule the pair out."""
     small = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
-    for side in "ab":
-        own = sets.select(F.col("key").alias(f"k{side}"), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"s{side}"))
-        small = small.join(own, F.col(side) == F.col(f"k{side}")).drop(f"k{side}")
     # Of na + nb - 2 * common elements in one set only, at least the differing cells; similarity bounds them.
     differing = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
     total = F.col("na") + F.col("nb")
-    pairs = stored(small.filter(differing * (1 + similarity) <= (1 - similarity) * total + 1e-6).select("a", "b"), "close")
+    for bitmap in ("odd", "sketch"):
+        for side in "ab":
+            own = sets.select(F.col("key").alias(f"k{side}"), F.col("n").alias(f"n{side}"), F.col(bitmap).alias(f"s{side}"))
+            small = small.join(own, F.col(side) == F.col(f"k{side}")).drop(f"k{side}")
+        small = stored(small.filter(differing * (1 + similarity) <= (1 - similarity) * total + 1e-6).select("a", "b"), "close")
+    pairs = small
     for side in "ab":
         own = sets.select(F.col("key").alias(f"k{side}"), F.col("set").alias(f"s{side}"))
         pairs = pairs.join(own, F.col(side) == F.col(f"k{side}")).drop(f"k{side}")
@@ -147,9 +177,8 @@ def linked(met: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     in crowded ones first a few, as they may join the rest. In the last round
     none is left out. n, the size of a key's set, rules out unlike sizes.
     """
-    met = stored(met, "met")
-    heads = met.groupBy("g").agg(F.min(F.struct("key", "n")).alias("head"), F.count("*").alias("m")).filter("m > 1").withColumnRenamed("g", "g2")
-    crowds = stored(met.join(heads, F.col("g") == F.col("g2")).select("g", "key", "n", "head", "m"), "crowds")
+    heads = stored(met.groupBy(F.col("g").alias("g2")).agg(F.min(F.struct("key", "n")).alias("head"), F.count("*").alias("m")).filter("m > 1"), "heads")
+    crowds = stored(possibly_among(met, "g", heads, "g2", 1 << 24).join(heads, F.col("g") == F.col("g2")).select("g", "key", "n", "head", "m"), "crowds")
     sizes = lambda x, y: F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9
     links = alike(crowds.filter(sizes(F.col("n"), F.col("head.n"))).select(F.col("head.key").alias("a"), F.col("key").alias("b")), sets, similarity)
     joined = stored(components(links), "components")
@@ -171,28 +200,18 @@ def linked(met: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return joined.select("node", "component")
 
 
-def verified_groups(docs: DataFrame, similarity: float = 0.8, verify: int = 5, max_bits: int = 2, shingle: int = 1, seeds: tuple[int, ...] = (42, 43, 44)) -> DataFrame:
+def verified_groups(docs: DataFrame, similarity: float = 0.8, verify: int = 5) -> DataFrame:
     """key, component: distinct texts that are linked, by their hashes.
 
-    Candidates are texts whose fingerprints over `shingle` words are at most
-    max_bits apart under any of the seeds: a few edits move a word's fingerprint
-    by a bit or two, where one over longer shingles moves too far to be met.
     Texts are linked when their sets of `verify`-word shingles have a Jaccard
-    similarity of `similarity` or more; a candidate is no link, so all that meet
-    on a point are compared unless they are in one component anyway.
+    similarity of `similarity` or more. Such sets have ceil(similarity * n) of
+    either one's n shingles in common, so in one order for all sets they share
+    one of the first n - ceil(similarity * n) + 1: texts that share one of those
+    are candidates, and no pair is missed. SimHashes (op3) meet only some of them.
     """
-    sets = shingle_sets(docs, verify)
-    sets = stored(sets.select("key", "set", F.size("set").alias("n"), F.pandas_udf(sketch, "array<bigint>")("set").alias("sketch")), "sets")
-    masks = F.array(*map(F.lit, ball((max_bits + 1) // 2)))
-    met = None
-    for seed in seeds:
-        fps = stored(fingerprints(docs, shingle, seed).select("fp", "key").distinct(), "fingerprints")
-        points = fps.select("key", F.explode(F.transform(masks, lambda x: F.xxhash64(F.lit(seed), F.col("fp").bitwiseXOR(x)))).alias("g"))
-        met = points if met is None else met.unionByName(points)
-    several = met.groupBy("g").agg(F.count("*").alias("m")).filter("m > 1").select(F.col("g").alias("g2"))
-    met = met.join(several, F.col("g") == F.col("g2")).select("g", "key")
-    own = sets.select(F.col("key").alias("k2"), "n")
-    met = met.join(own, F.col("key") == F.col("k2")).select("g", "key", "n")
+    sets = ordered_sets(docs, verify)
+    first = F.slice("set", F.lit(1), F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - 1e-9).cast("int") + 1)
+    met = sets.select("key", "n", F.explode(first).alias("g"))
     return linked(met, sets, similarity).select(F.col("node").alias("key"), "component")
 
 

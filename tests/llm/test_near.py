@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 from claimscreen.llm import simhash
+from tests.llm import fixtures as fx
 
 
 def shingles(text, n=5):
@@ -54,3 +55,22 @@ def test_hub(spark):
         texts = [" ".join(base)] + [swapped(base, rng.sample(range(0, 198, 8), 3)) for _ in range(90 if k else 30)]
         rows += [(1000 * k + i, t) for i, t in enumerate(texts)]
     assert check(spark, rows) == [0, 1000]
+
+
+def test_any_edits(spark):
+    """Words replaced, inserted and left out, over the range of similarities: far more bits of a SimHash than two."""
+    rng = random.Random(2)
+    rows = []
+    for k in range(40):
+        base = [f"{k}w{rng.randrange(10**9)}" for _ in range(rng.choice([6, 30, 150, 400]))]
+        for i in range(5):
+            words = list(base)
+            for _ in range(rng.randrange(0, max(2, len(base) // 25))):
+                at = rng.randrange(len(words))
+                words[at : at + rng.choice([0, 1, 1])] = [f"new{rng.randrange(10**9)}"] * rng.choice([0, 1, 1])
+            rows.append((10 * k + i, " ".join(words)))
+    check(spark, rows + [(10**6 + i, t) for i, t in enumerate(["", "one two", "One  two", "one two three"])])
+
+
+def test_documents(spark):
+    check(spark, [(d, t) for d, t in fx.pairs(fx.documents(spark)) if d is not None])
