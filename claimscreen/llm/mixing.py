@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimscreen.llm.common import WORD_GAP, ship_code, stored, words_of
+from claimscreen.llm.common import WORD_GAP, ship_code, stored
 
 WEIGHTS = (3, 1, 2)
 
@@ -79,12 +79,11 @@ def split_quota(held: np.ndarray, quota: int, seed: int) -> np.ndarray:
     return out
 
 
-def draw_blocks(sizes: np.ndarray, keys: np.ndarray, quota: int, block: int, seed: int) -> np.ndarray:
-    """Words taken of each document: documents in permuted order are cut into blocks, permuted blocks are taken up to the quota, the last in part."""
-    taken = np.zeros(len(sizes), dtype=np.int64)
+def draw_ranges(sizes: np.ndarray, keys: np.ndarray, quota: int, block: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, first word and end of each range of words taken, in each document's order: documents in permuted order are cut into blocks, permuted blocks are taken up to the quota, the last in part."""
     total = int(sizes.sum())
     if quota <= 0 or not total:
-        return taken
+        return (np.zeros(0, dtype=np.int64),) * 3
     order = np.lexsort((np.arange(len(keys)), keys))
     ends = np.cumsum(sizes[order])
     n = -(-total // block)
@@ -94,18 +93,28 @@ def draw_blocks(sizes: np.ndarray, keys: np.ndarray, quota: int, block: int, see
     last = int(np.searchsorted(reached, quota))
     picked, lengths = picked[: last + 1], lengths[: last + 1].copy()
     lengths[-1] -= max(0, int(reached[last]) - quota)
-    marks = np.sort(picked * block)
     by_start = np.argsort(picked, kind="stable")
-    lengths = lengths[by_start]
-    covered = np.concatenate([[0], np.cumsum(lengths)])
+    starts = picked[by_start] * block
+    stops = starts + lengths[by_start]
+    # Blocks that touch are one range; ranges are cut where documents end.
+    fresh = np.concatenate([[True], starts[1:] != stops[:-1]])
+    starts, stops = starts[fresh], stops[np.concatenate([fresh[1:], [True]])]
+    begins = ends - sizes[order]
+    low, high = np.searchsorted(ends, starts, side="right"), np.searchsorted(begins, stops, side="left")
+    n = high - low
+    which = np.repeat(np.arange(len(starts)), n)
+    doc = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + low[which]
+    lo, hi = np.maximum(starts[which], begins[doc]), np.minimum(stops[which], ends[doc])
+    some = hi > lo
+    doc, lo, hi = doc[some], lo[some], hi[some]
+    return order[doc], lo - begins[doc], hi - begins[doc]
 
-    def below(x: np.ndarray) -> np.ndarray:
-        i = np.searchsorted(marks, x, side="right") - 1
-        inside = np.where(i >= 0, np.minimum(x - marks[np.maximum(i, 0)], lengths[np.maximum(i, 0)]), 0)
-        return np.where(i >= 0, covered[np.maximum(i, 0)] + inside, 0)
 
-    edges = below(np.concatenate([[0], ends]))
-    taken[order] = np.diff(edges)
+def draw_blocks(sizes: np.ndarray, keys: np.ndarray, quota: int, block: int, seed: int) -> np.ndarray:
+    """Words taken of each document: the lengths of its ranges."""
+    taken = np.zeros(len(sizes), dtype=np.int64)
+    docs, lo, hi = draw_ranges(sizes, keys, quota, block, seed)
+    np.add.at(taken, docs, hi - lo)
     return taken
 
 
@@ -113,8 +122,8 @@ def row_key(seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.col("doc_id").cast("bigint"), "text")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, shards: int = 256, block: int = 64, seed: int = 7) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, shard, rank, key: rank orders a shard's documents after its local shuffle, key is row_key(seed).
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, shards: int = 256, block: int = 64, seed: int = 7, ranges: bool = False) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken, shard, rank, key; with ranges also starts and stops, the words of the part of a time: rank orders a shard's documents after its local shuffle, key is row_key(seed).
 
     Nulls: a null text has size 0 and is taken 0 times, null sources form the
     last source, null ids hash as such. Repeated rows are separate documents.
@@ -151,31 +160,47 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
         shard = int(pdf["shard"].iloc[0])
         sizes, keys = pdf["size"].to_numpy(np.int64), pdf["key"].to_numpy(np.int64)
         taken = pdf["passes"].to_numpy(np.int64) * sizes
+        starts, stops = ([[] for _ in sizes] for _ in range(2))
         codes, names = pd.factorize(pdf["source"], use_na_sentinel=False)
         for i in range(len(names)):
             at = np.flatnonzero(codes == i)
-            taken[at] += draw_blocks(sizes[at], keys[at], int(pdf["quota"].iloc[at[0]]), block, (seed * 31 + shard) * 65_537 + int(sizes[at].sum()) % 65_537)
+            drawn = draw_ranges(sizes[at], keys[at], int(pdf["quota"].iloc[at[0]]), block, (seed * 31 + shard) * 65_537 + int(sizes[at].sum()) % 65_537)
+            np.add.at(taken, at[drawn[0]], drawn[2] - drawn[1])
+            if ranges:
+                for d, lo, hi in zip(at[drawn[0]].tolist(), drawn[1].tolist(), drawn[2].tolist()):
+                    starts[d].append(lo)
+                    stops[d].append(hi)
         rank = np.random.default_rng([seed, shard]).permutation(len(pdf))
-        return pdf.assign(taken=taken, rank=rank)[["number", "named", "source", "size", "source_size", "target", "taken", "shard", "rank", "key"]]
+        pdf = pdf.assign(taken=taken, rank=rank)
+        return (pdf.assign(starts=starts, stops=stops) if ranges else pdf)[names_out]
 
-    out = full.groupBy("shard").applyInPandas(draw, "number bigint, named boolean, source string, size bigint, source_size bigint, target double, taken bigint, shard int, rank bigint, key bigint")
-    return out.select(F.when(F.col("named"), F.col("number")).alias("doc_id"), "source", "size", "source_size", "target", "taken", "shard", "rank", "key")
+    schema = "number bigint, named boolean, source string, size bigint, source_size bigint, target double, taken bigint, shard int, rank bigint, key bigint" + (", starts array<bigint>, stops array<bigint>" if ranges else "")
+    names_out = [c.split()[0] for c in schema.split(", ")]
+    out = full.groupBy("shard").applyInPandas(draw, schema)
+    return out.select(F.when(F.col("named"), F.col("number")).alias("doc_id"), *names_out[2:])
 
 
 def apply_mix(docs: DataFrame, seed: int = 7, **options) -> DataFrame:
-    """docs as the mix takes them: a row for each whole time, and one with the first words for a part of a time.
+    """docs as the mix takes them: a row for each whole time, and one with the words drawn for a part of a time.
 
-    A part has as many words as the mix takes of it, joined by blanks, and its
-    length in n_chars if docs has that. Rows that are alike share what they are taken.
+    A part has exactly the ranges of words the mix draws, as they stand in the
+    text, each range on a line of its own, and its length in n_chars if docs has
+    that. Rows of one id, text and source are told apart by number, so each
+    has a draw of its own.
     """
-    own = mix(docs, seed=seed, **options).groupBy(F.col("key").alias("__k")).agg(F.sum("taken").alias("__t"), F.max("size").alias("__s"), F.count("*").alias("__n"))
-    rows = docs.join(own.filter("__t > 0"), row_key(seed) == F.col("__k"))
-    rows = rows.withColumn("__t", F.expr("__t div __n"))
-    words = F.expr("array_append(array_repeat(__s, cast(__t div __s as int)), __t % __s)")
-    rows = rows.select("*", F.explode(F.filter(words, lambda n: n > 0)).alias("__w"))
-    part = F.col("__w") < F.col("__s")
-    text = F.when(part, F.array_join(F.slice(words_of(docs["text"]), F.lit(1), F.col("__w").cast("int")), " ")).otherwise(docs["text"])
+    own = mix(docs, seed=seed, ranges=True, **options).filter("taken > 0")
+    drawn = F.struct("rank", F.expr("taken div size").alias("times"), "starts", "stops", (F.col("taken") % F.col("size")).alias("rest"))
+    own = own.groupBy(F.xxhash64("key", "source").alias("__k2")).agg(F.array_sort(F.collect_list(drawn)).alias("__all"))
+    rows = docs.withColumn("__k", F.xxhash64(row_key(seed), F.col("source").cast("string")))
+    rows = rows.withColumn("__i", F.row_number().over(Window.partitionBy("__k").orderBy("__k")))
+    rows = rows.join(own, F.col("__k") == F.col("__k2")).withColumn("__d", F.get("__all", F.col("__i") - 1)).filter("__d is not null")
+    parts = F.expr("array_append(array_repeat(false, cast(__d.times as int)), true)")
+    rows = rows.select("*", F.explode(parts).alias("__part")).filter(~F.col("__part") | (F.col("__d.rest") > 0))
+    # Each word with the white space behind it.
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1))
+    cut = lambda w: F.zip_with("__d.starts", "__d.stops", lambda lo, hi: F.regexp_replace(F.array_join(F.slice(w, (lo + 1).cast("int"), (hi - lo).cast("int")), ""), WORD_GAP + "$", ""))
+    text = F.when(F.col("__part"), F.get(F.transform(F.array(words), lambda w: F.array_join(cut(w), "\n")), F.lit(0))).otherwise(F.col("text"))
     out = rows.withColumn("text", text)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__w") < F.col("__s"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col("__part"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
