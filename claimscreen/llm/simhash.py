@@ -13,12 +13,12 @@ SimHash distance decides: its candidates come from prefixes of shingle sets.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -130,21 +130,33 @@ def sketch(sets: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def ordered_sets(docs: DataFrame, shingle: int, bits: int = 1 << 22) -> DataFrame:
-    """key, set, n, odd, sketch: shingle_sets in one order for all, in which shingles of many texts come last.
+def rare_first(sets: DataFrame, some: DataFrame, bits: int = 1 << 22) -> DataFrame:
+    """sets with each `set` in one order for all, in which elements that are common in `some`, a sample of them, come last.
 
-    Which ones are common is read off a sample into a bitmap of fixed size. The
-    order decides how many texts meet, not which pairs are found.
+    Which ones are common is kept in a bitmap of fixed size. The order decides
+    how many sets meet, not which pairs are found.
     """
-    spark = docs.sparkSession
-    some = shingle_sets(docs.filter(F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(SAMPLE)) == 0), shingle)
+    spark = sets.sparkSession
     common = some.select(F.explode("set").alias("e")).groupBy("e").agg(F.count("*").alias("c")).filter(F.col("c") >= COMMON)
     filled = common.select(F.col("e").bitwiseAND(bits - 1).alias("at")).groupBy(F.shiftright("at", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("set"))
     dense = spark.range(0, bits // 64, 1, 1).join(filled, F.col("id") == F.col("cell"), "left").select("id", F.coalesce("set", F.lit(0).cast("bigint")).alias("set"))
     one = stored(dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "set"))), lambda x: x["set"]).alias("__bitmap")), "common")
     often = in_bitmap("__bitmap", "e", bits)
-    rows = shingle_sets(docs, shingle).withColumnRenamed("set", "__s").join(F.broadcast(one))
+    rows = sets.withColumnRenamed("set", "__s").join(F.broadcast(one))
     rows = held(rows, {"set": F.expr(f"concat(sort_array(filter(__s, e -> not ({often}))), sort_array(filter(__s, e -> {often})))")})
+    return rows.drop("__s", "__bitmap")
+
+
+def prefix(share: float) -> Column:
+    """The first of a `set`: of two sets in one order with that share of either in common, both have one of them."""
+    n = F.size("set")
+    return F.slice("set", F.lit(1), n - F.ceil(F.lit(share) * n - 1e-9).cast("int") + 1)
+
+
+def ordered_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """key, set, n, odd, sketch: shingle_sets with common shingles last, their sizes and bitmaps."""
+    some = shingle_sets(docs.filter(F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(SAMPLE)) == 0), shingle)
+    rows = rare_first(shingle_sets(docs, shingle), some)
     rows = rows.select("key", "set", F.size("set").alias("n"), F.pandas_udf(sketch, "array<bigint>")("set").alias("s"))
     return stored(rows.select("key", "set", "n", F.slice("s", 1, PARITY // 64).alias("odd"), F.slice("s", PARITY // 64 + 1, CELLS // 64).alias("sketch")), "sets")
 
@@ -168,19 +180,20 @@ def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return stored(both.filter(F.col("c") >= similarity * (F.col("t") - F.col("c")) - 1e-9).select("a", "b"), "alike")
 
 
-def linked(met: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def linked(met: DataFrame, compare: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
     """node, component of the keys in met(g, key, n): the same as if all pairs of a g were compared.
 
     First all are compared with the smallest key of their g. Where a g's members
     are in several components after that, those outside of its largest one are
     compared with all members of other components: in small groups all at once,
     in crowded ones first a few, as they may join the rest. In the last round
-    none is left out. n, the size of a key's set, rules out unlike sizes.
+    none is left out. compare gives the links among pairs (a, b); sizes n that
+    differ by more than the similarity are ruled out.
     """
     heads = stored(met.groupBy(F.col("g").alias("g2")).agg(F.min(F.struct("key", "n")).alias("head"), F.count("*").alias("m")).filter("m > 1"), "heads")
     crowds = stored(possibly_among(met, "g", heads, "g2", 1 << 24).join(heads, F.col("g") == F.col("g2")).select("g", "key", "n", "head", "m"), "crowds")
     sizes = lambda x, y: F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9
-    links = alike(crowds.filter(sizes(F.col("n"), F.col("head.n"))).select(F.col("head.key").alias("a"), F.col("key").alias("b")), sets, similarity)
+    links = compare(crowds.filter(sizes(F.col("n"), F.col("head.n"))).select(F.col("head.key").alias("a"), F.col("key").alias("b")))
     joined = stored(components(links), "components")
     crowds = crowds.filter("m > 2").select("g", "key", "n", "m")
     for i, rate in enumerate(RATES):
@@ -194,7 +207,7 @@ def linked(met: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         first = rows.filter((F.col("c") != F.col("main")) & (((F.col("m") <= CROWD) | turn) if i == 0 else turn))
         first = first.select(F.col("g").alias("g2"), F.col("key").alias("a"), F.col("c").alias("c2"), F.col("n").alias("n2"))
         pairs = rows.join(first, (F.col("g") == F.col("g2")) & (F.col("c") != F.col("c2")) & sizes(F.col("n"), F.col("n2"))).select("a", F.col("key").alias("b"))
-        links = stored(links.unionByName(alike(pairs, sets, similarity)), "links")
+        links = stored(links.unionByName(compare(pairs)), "links")
         joined = stored(components(links), "components")
         crowds = rows.filter(F.col("m") > CROWD).select("g", "key", "n", "m")
     return joined.select("node", "component")
@@ -210,9 +223,8 @@ def verified_groups(docs: DataFrame, similarity: float = 0.8, verify: int = 5) -
     are candidates, and no pair is missed. SimHashes (op3) meet only some of them.
     """
     sets = ordered_sets(docs, verify)
-    first = F.slice("set", F.lit(1), F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - 1e-9).cast("int") + 1)
-    met = sets.select("key", "n", F.explode(first).alias("g"))
-    return linked(met, sets, similarity).select(F.col("node").alias("key"), "component")
+    met = sets.select("key", "n", F.explode(prefix(similarity)).alias("g"))
+    return linked(met, lambda pairs: alike(pairs, sets, similarity), similarity).select(F.col("node").alias("key"), "component")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
