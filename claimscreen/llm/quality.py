@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimscreen.llm.common import held, words_of
+from claimscreen.llm.common import held, stored, words_of
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -122,11 +122,11 @@ def hits(rows: DataFrame, limits: QualityLimits) -> DataFrame:
     return lines.join(bad, lines["host"].eqNullSafe(bad["h2"]) & (lines["h"] == bad["bad"])).select("host", "key", "h", "n")
 
 
-def quality(docs: DataFrame, limits: QualityLimits = QualityLimits()) -> DataFrame:
+def quality(docs: DataFrame, limits: QualityLimits = QualityLimits(), found: DataFrame | None = None) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, lost_words."""
     rows = keyed(docs)
     copies = rows.groupBy(F.col("host").alias("ch"), F.col("key").alias("ck")).agg(F.count("*").alias("copies"))
-    lost = hits(rows, limits).groupBy("host", "key").agg(F.sum("n").alias("lost"))
+    lost = (hits(rows, limits) if found is None else found).groupBy("host", "key").agg(F.sum("n").alias("lost"))
     lost = lost.join(copies, lost["host"].eqNullSafe(copies["ch"]) & (lost["key"] == copies["ck"]))
     lost = lost.select("ch", "ck", (F.col("lost") / F.col("copies")).cast("bigint").alias("lost_words"))
     base = base_rules(rows, limits)
@@ -136,16 +136,26 @@ def quality(docs: DataFrame, limits: QualityLimits = QualityLimits()) -> DataFra
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), lost_words.alias("lost_words"), "host", "key")
 
 
-def keep_good(docs: DataFrame, limits: QualityLimits = QualityLimits()) -> DataFrame:
+def keep_good(docs: DataFrame, limits: QualityLimits = QualityLimits(), found: DataFrame | None = None) -> DataFrame:
     """Rows of docs that pass, with all their columns. The verdict belongs to host and text, so it needs no id."""
-    good = quality(docs, limits).filter("kept").select(F.col("host").alias("__host"), F.col("key").alias("__key")).distinct()
+    good = quality(docs, limits, found).filter("kept").select(F.col("host").alias("__host"), F.col("key").alias("__key")).distinct()
     key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     return docs.join(good, docs["source"].cast("string").eqNullSafe(good["__host"]) & (key == good["__key"]), "left_semi")
 
 
-def strip_lines(docs: DataFrame, limits: QualityLimits = QualityLimits()) -> DataFrame:
+def clean(docs: DataFrame, limits: QualityLimits = QualityLimits()) -> DataFrame:
+    """Rows of docs that pass, without the removed lines, with their new length in n_chars if docs has that. Verdict and lines are of docs as they come."""
+    found = stored(hits(keyed(docs), limits), "hits")
+    out = strip_lines(keep_good(docs.withColumn("__whole", F.length("text")), limits, found), limits, found)
+    if "n_chars" in docs.columns:
+        shorter = F.length("text") < F.col("__whole")
+        out = out.withColumn("n_chars", F.when(shorter, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
+def strip_lines(docs: DataFrame, limits: QualityLimits = QualityLimits(), found: DataFrame | None = None) -> DataFrame:
     """docs with the removed lines taken out of text; all other columns as they were."""
-    cut = hits(keyed(docs), limits).groupBy(F.col("host").alias("__host"), F.col("key").alias("__key")).agg(F.collect_set("h").alias("__cut"))
+    cut = (hits(keyed(docs), limits) if found is None else found).groupBy(F.col("host").alias("__host"), F.col("key").alias("__key")).agg(F.collect_set("h").alias("__cut"))
     key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     out = docs.join(cut, docs["source"].cast("string").eqNullSafe(cut["__host"]) & (key == cut["__key"]), "left")
     rest = F.array_join(F.filter(F.split(F.col("text"), "\n"), lambda x: ~F.array_contains("__cut", F.xxhash64(normalised(x)))), "\n")

@@ -10,8 +10,8 @@ from claimscreen.llm.common import documents, stored, work_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
-    return quality.keep_good(docs)
+    """Documents that pass the quality rules, without the lines those remove."""
+    return quality.clean(docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
