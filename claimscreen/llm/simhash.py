@@ -143,8 +143,9 @@ def rare_first(sets: DataFrame, some: DataFrame, bits: int = 1 << 22) -> DataFra
     one = stored(dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "set"))), lambda x: x["set"]).alias("__bitmap")), "common")
     often = in_bitmap("__bitmap", "e", bits)
     rows = sets.withColumnRenamed("set", "__s").join(F.broadcast(one))
-    rows = held(rows, {"set": F.expr(f"concat(sort_array(filter(__s, e -> not ({often}))), sort_array(filter(__s, e -> {often})))")})
-    return rows.drop("__s", "__bitmap")
+    rows = held(rows, {"__r": F.expr(f"filter(__s, e -> not ({often}))")})
+    rows = held(rows, {"set": F.concat(F.sort_array("__r"), F.sort_array(F.array_except("__s", "__r")))})
+    return rows.drop("__s", "__r", "__bitmap")
 
 
 def prefix(share: float) -> Column:
@@ -190,8 +191,11 @@ def linked(met: DataFrame, compare: Callable[[DataFrame], DataFrame], similarity
     none is left out. compare gives the links among pairs (a, b); sizes n that
     differ by more than the similarity are ruled out.
     """
-    heads = stored(met.groupBy(F.col("g").alias("g2")).agg(F.min(F.struct("key", "n")).alias("head"), F.count("*").alias("m")).filter("m > 1"), "heads")
-    crowds = stored(possibly_among(met, "g", heads, "g2", 1 << 24).join(heads, F.col("g") == F.col("g2")).select("g", "key", "n", "head", "m"), "crowds")
+    # Most elements occur once: those are counted away before keys travel.
+    several = stored(met.groupBy(F.col("g").alias("g2")).agg(F.count("*").alias("m")).filter("m > 1").select("g2"), "several")
+    rows = stored(possibly_among(met, "g", several, "g2", 1 << 24), "met")
+    heads = rows.groupBy(F.col("g").alias("g2")).agg(F.min(F.struct("key", "n")).alias("head"), F.count("*").alias("m")).filter("m > 1")
+    crowds = stored(rows.join(heads, F.col("g") == F.col("g2")).select("g", "key", "n", "head", "m"), "crowds")
     sizes = lambda x, y: F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9
     links = compare(crowds.filter(sizes(F.col("n"), F.col("head.n"))).select(F.col("head.key").alias("a"), F.col("key").alias("b")))
     joined = stored(components(links), "components")
