@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -15,10 +16,12 @@ WORD_GAP = r"[\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it; a temporary one only where none is set, as in tests."""
+    """The folder all executors share, as the cluster names it; a temporary one only where one machine is the cluster, as in tests."""
     if root := spark.conf.get("spark.checkpoint.dir", None):
         return root.rstrip("/")
     if not spark.sparkContext.getCheckpointDir():
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="claimscreen-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
@@ -31,7 +34,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """df written as a table in the shared folder and read again: a replicated cut of the lineage with known size."""
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete the folders of stored tables that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_path).getParent()
+        path.getFileSystem(df.sparkSession._jsc.sc().hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -79,18 +91,18 @@ def held(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
-def bitmap_of(hashes: DataFrame, column: str, bits: int) -> str:
-    """SQL of a literal array of bits / 64 longs, with the bits that the hashes' low bits name.
+def fixed_bits(n: int, per_item: int = 16, least: int = 1 << 16, most: int = 1 << 26) -> int:
+    """Bits of a bitmap for n hashes: a power of two, so that few others pass, between bounds (8 MB at most)."""
+    return min(most, max(least, 1 << max(0, n * per_item - 1).bit_length()))
 
-    Its size is fixed by the parameter, whatever the table holds: a filter that
-    only ever lets too much through. bits: a power of two, 64 at least.
-    """
+
+def one_row_bitmap(hashes: DataFrame, column: str, bits: int) -> DataFrame:
+    """One row, __bitmap: an array of bits / 64 longs with the bits set that the hashes' low bits name. bits: a power of two, 64 at least."""
+    spark = hashes.sparkSession
     at = F.col(column).bitwiseAND(bits - 1)
     filled = hashes.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("set"))
-    cells = [0] * (bits // 64)
-    for r in filled.collect():  # bits / 64 rows at most
-        cells[r["cell"]] = r["set"]
-    return f"cast(split('{','.join(map(str, cells))}', ',') as array<bigint>)"
+    dense = spark.range(0, bits // 64, 1, 1).join(filled, F.col("id") == F.col("cell"), "left").select("id", F.coalesce("set", F.lit(0).cast("bigint")).alias("set"))
+    return stored(dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "set"))), lambda x: x["set"]).alias("__bitmap")), "bitmap")
 
 
 def in_bitmap(bitmap: str, value: str, bits: int) -> str:
@@ -98,15 +110,22 @@ def in_bitmap(bitmap: str, value: str, bits: int) -> str:
     return f"getbit(element_at({bitmap}, cast(shiftright({value} & {bits - 1}L, 6) + 1 as int)), cast({value} & 63L as int)) = 1"
 
 
-def possibly_among(rows: DataFrame, value: str, hashes: DataFrame, column: str, bits: int = 1 << 22) -> DataFrame:
-    """rows whose value may be one of the hashes: a filter before a join, so that only likely partners are shuffled.
+def possibly_among(rows: DataFrame, value: str, hashes: DataFrame, column: str) -> DataFrame:
+    """rows whose value, or one of whose values if it is an array, may be one of the hashes: a filter before a join, so that only likely partners are shuffled.
 
-    One row with the bitmap of the hashes, bits / 8 bytes whatever their number,
-    is broadcast. Unlike a literal it is not part of the plan's text.
+    hashes: a stored table. One row with a bitmap is broadcast, whose size follows
+    their number up to fixed_bits' bound. Where they are too many for that to hold
+    anything back, rows are returned as they are and the join does all the work.
     """
-    spark = rows.sparkSession
-    at = F.col(column).bitwiseAND(bits - 1)
-    filled = hashes.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("set"))
-    dense = spark.range(0, bits // 64, 1, 1).join(filled, F.col("id") == F.col("cell"), "left").select("id", F.coalesce("set", F.lit(0).cast("bigint")).alias("set"))
-    one = dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "set"))), lambda x: x["set"]).alias("__bitmap"))
-    return rows.join(F.broadcast(stored(one, "bitmap")), F.expr(in_bitmap("__bitmap", value, bits))).drop("__bitmap")
+    n = hashes.count()
+    bits = fixed_bits(n)
+    if n > 2 * bits:
+        return rows
+    test = in_bitmap("__bitmap", "v", bits)
+    kept = f"exists({value}, v -> {test})" if rows.schema[value].dataType.typeName() == "array" else in_bitmap("__bitmap", value, bits)
+    return rows.join(F.broadcast(one_row_bitmap(hashes, column, bits)), F.expr(kept)).drop("__bitmap")
+
+
+def carried(docs: DataFrame, **columns: Column) -> DataFrame:
+    """row (all columns of docs) and further columns: whatever docs calls its own, names cannot clash. select("row.*") gives docs back."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in columns.items()])

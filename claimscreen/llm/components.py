@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimscreen.llm.common import stored
+from claimscreen.llm.common import forget, stored
 
 
 def _minimum(edges: DataFrame) -> DataFrame:
@@ -34,7 +34,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = _star(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         small = _star(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(_minimum(large).select("u", F.col("m").alias("v")))
-        now = stored(small.filter("u <> v").distinct(), "edges")
+        before, now = now, stored(small.filter("u <> v").distinct(), "edges")
+        forget(before)
         state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
         if state == seen:
             break

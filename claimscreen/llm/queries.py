@@ -44,7 +44,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.overlaps(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("key")
+    return decontaminate.overlaps(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("key", "key2")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from claimscreen.llm.common import held, id_and_text, in_bitmap, partitions, possibly_among, ship_code, stored, words_of
+from claimscreen.llm.common import forget, held, id_and_text, in_bitmap, one_row_bitmap, partitions, possibly_among, ship_code, stored, words_of
 from claimscreen.llm.components import components
 
 SEED = 42
@@ -87,7 +87,7 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     met = points(coded.repartition(n, "point")).groupBy("point").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1")
     met = stored(met, "met")
     pairs = met.filter("n = 2").select("a", "b")
-    more = met.filter("n > 2").select(F.col("point").alias("p"), "a")
+    more = stored(met.filter("n > 2").select(F.col("point").alias("p"), "a"), "more")
     crowded = points(possibly_among(coded, "point", more, "p"))
     rest = crowded.join(more, F.col("point") == F.col("p"))
     if max_bits % 2 == 0:
@@ -130,22 +130,34 @@ def sketch(sets: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
+def common_bitmap(elements: DataFrame, bits: int) -> DataFrame:
+    """One row, __bitmap: which elements e occur often in `elements`, a sample of them.
+
+    Often is COMMON times, or as many times as leaves an eighth of the bits: the
+    number of elements that rank as common is bounded, whatever the table holds.
+    """
+    counts = stored(elements.groupBy("e").agg(F.count("*").alias("c")).filter(F.col("c") >= COMMON), "counts")
+    powers = counts.groupBy(F.floor(F.log2("c")).cast("int").alias("p")).agg(F.count("*").alias("n")).collect()  # 64 rows at most
+    left, least = bits // 8, COMMON
+    for r in sorted(powers, key=lambda r: -r["p"]):
+        left -= r["n"]
+        if left < 0:
+            least = max(COMMON, 2 << r["p"])
+            break
+    out = one_row_bitmap(counts.filter(F.col("c") >= least), "e", bits)
+    forget(counts)
+    return out
+
+
 def rare_first(sets: DataFrame, some: DataFrame, bits: int = 1 << 22) -> DataFrame:
     """sets with each `set` in one order for all, in which elements that are common in `some`, a sample of them, come last.
 
     Which ones are common is kept in a bitmap of fixed size. The order decides
     how many sets meet, not which pairs are found.
     """
-    spark = sets.sparkSession
-    common = some.select(F.explode("set").alias("e")).groupBy("e").agg(F.count("*").alias("c")).filter(F.col("c") >= COMMON)
-    filled = common.select(F.col("e").bitwiseAND(bits - 1).alias("at")).groupBy(F.shiftright("at", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("set"))
-    dense = spark.range(0, bits // 64, 1, 1).join(filled, F.col("id") == F.col("cell"), "left").select("id", F.coalesce("set", F.lit(0).cast("bigint")).alias("set"))
-    one = stored(dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "set"))), lambda x: x["set"]).alias("__bitmap")), "common")
-    often = in_bitmap("__bitmap", "e", bits)
-    rows = sets.withColumnRenamed("set", "__s").join(F.broadcast(one))
-    rows = held(rows, {"__r": F.expr(f"filter(__s, e -> not ({often}))")})
-    rows = held(rows, {"set": F.concat(F.sort_array("__r"), F.sort_array(F.array_except("__s", "__r")))})
-    return rows.drop("__s", "__r", "__bitmap")
+    rows = sets.withColumnRenamed("set", "__s").join(F.broadcast(common_bitmap(some.select(F.explode("set").alias("e")), bits)))
+    signed = F.expr(f"transform(__s, e -> if({in_bitmap('__bitmap', 'e', bits)}, e & {2**63 - 1}L, e | shiftleft(1L, 63)))")
+    return held(rows, {"set": F.array_distinct(F.sort_array(signed))}).drop("__s", "__bitmap")
 
 
 def prefix(share: float) -> Column:
@@ -193,7 +205,7 @@ def linked(met: DataFrame, compare: Callable[[DataFrame], DataFrame], similarity
     """
     # Most elements occur once: those are counted away before keys travel.
     several = stored(met.groupBy(F.col("g").alias("g2")).agg(F.count("*").alias("m")).filter("m > 1").select("g2"), "several")
-    rows = stored(possibly_among(met, "g", several, "g2", 1 << 24), "met")
+    rows = stored(possibly_among(met, "g", several, "g2"), "met")
     heads = rows.groupBy(F.col("g").alias("g2")).agg(F.min(F.struct("key", "n")).alias("head"), F.count("*").alias("m")).filter("m > 1")
     crowds = stored(rows.join(heads, F.col("g") == F.col("g2")).select("g", "key", "n", "head", "m"), "crowds")
     sizes = lambda x, y: F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9
