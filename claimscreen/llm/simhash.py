@@ -149,7 +149,7 @@ def common_bitmap(elements: DataFrame, bits: int) -> DataFrame:
     return out
 
 
-def rare_first(sets: DataFrame, some: DataFrame, bits: int = 1 << 22) -> DataFrame:
+def rare_first(sets: DataFrame, some: DataFrame, bits: int = 1 << 20) -> DataFrame:
     """sets with each `set` in one order for all, in which elements that are common in `some`, a sample of them, come last.
 
     Which ones are common is kept in a bitmap of fixed size. The order decides

@@ -14,11 +14,15 @@ level where no other key shares its bit), and stores a fingerprint and a value
 for each, so an absent key is told from a present one in constant time.
 
 Null texts are empty documents. Null and repeated doc_ids are stored and read by
-scans; the index holds the first document of each id.
+scans; the index holds the first document of each id. Rows of one id are in the
+order of their texts' hashes. No documents give a store without shards. Extra
+columns are not read, whatever their names. Texts of any length are encoded whole,
+and one document is never cut between shards.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -28,6 +32,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -163,41 +168,103 @@ class Shard:
         return None if i < 0 or self.keys[i] != key else self.ids(i)
 
 
-@lru_cache(maxsize=4)
-def encoder(path: str, keep: int = 400_000) -> Callable[[str], np.ndarray]:
-    """Whole texts to ids with the tokenizers library.
+def cuts_at_blanks(tokenizer, path: str) -> bool:
+    """Whether a text's ids are those of its pieces between ASCII blanks, in turn.
+
+    So it is where the first step before the model drops white space and keeps
+    nothing that holds any; a few joined pieces put that to the test. Of any other
+    tokenizer (one that marks blanks, say) whole texts are encoded.
+    """
+    with open(path, encoding="utf-8") as f:
+        step = json.load(f).get("pre_tokenizer") or {}
+    step = (step.get("pretokenizers") or [{}])[0] if step.get("type") == "Sequence" else step
+    dropping = step.get("type") in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer") or (step.get("type") == "Split" and step.get("behavior") == "Removed" and step.get("invert"))
+    pieces = ["a", "Word", "12", "'s", "...", "\u00e9", "e\u0301", "\u0301", "#a-b", "\u4e2d\u6587"]
+    ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    return dropping and all(ids(f"{x}{blank}{y}") == ids(x) + ids(y) and ids(f"{blank}{x}{blank}") == ids(x) for blank in " \t\n\x0b\x0c\r" for x in pieces for y in pieces)
+
+
+class Pieces:
+    """Ids of pieces of text, each encoded once and kept in one array; all are dropped at `keep` pieces.
 
-    The tokenizer drops white space and joins nothing across it, so a text's ids
-    are those of its pieces between ASCII blanks, in turn. The library encodes a
-    piece once; pieces are kept in two generations of about keep entries.
+    New pieces are encoded many at a time, with a blank between them; ids are told
+    apart by their place in that text.
     """
+
+    TOGETHER = 256
+
+    def __init__(self, tokenizer, keep: int = 1_000_000) -> None:
+        self.tokenizer, self.keep = tokenizer, keep
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.starts, self.lengths, self.pool = (np.zeros(0, np.int64) for _ in range(3))
+
+    def of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """First place in the pool, and length, of each distinct piece."""
+        if len(self.place) > self.keep:
+            self.clear()
+        if new := [p for p in pieces if p not in self.place]:
+            ids, lengths = [], []
+            for i in range(0, len(new), self.TOGETHER):
+                some = new[i : i + self.TOGETHER]
+                found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+                sizes = np.fromiter(map(len, some), np.int64, len(some)) + 1
+                owner = np.searchsorted(np.cumsum(sizes) - sizes, np.array([x for x, _ in found.offsets], np.int64), side="right") - 1
+                ids.append(np.array(found.ids, np.int64))
+                lengths.append(np.bincount(owner, minlength=len(some)))
+            lengths = np.concatenate(lengths)
+            self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lengths) - lengths])
+            self.lengths, self.pool = np.concatenate([self.lengths, lengths]), np.concatenate([self.pool, *ids])
+            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+        at = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
+        return self.starts[at], self.lengths[at]
+
+
+@lru_cache(maxsize=4)
+def encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """Whole texts to their ids, one after the other, and the number of ids of each."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    young: dict[bytes, bytes] = {}
-    old: dict[bytes, bytes] = {}
-
-    def learn(pieces: list[bytes]) -> None:
-        nonlocal young, old
-        if len(young) > keep:
-            old, young = young, {}
-        missing = [p for p in dict.fromkeys(pieces) if p not in young]
-        young.update((p, old[p]) for p in missing if p in old)
-        new = [p for p in missing if p not in young]
-        for p, e in zip(new, tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False), strict=True):
-            young[p] = np.array(e.ids, dtype="<u4").tobytes()
-
-    def encode(text: str) -> np.ndarray:
-        pieces = text.encode().split()
-        try:
-            parts = [young[p] for p in pieces]
-        except KeyError:
-            learn(pieces)
-            parts = [young[p] for p in pieces]
-        return np.frombuffer(b"".join(parts), dtype="<u4")
-
-    return encode
+
+    def whole(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts.to_pylist()]
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter((i for x in ids for i in x), np.int64, int(counts.sum())), counts
+
+    if not cuts_at_blanks(tokenizer, path):
+        return whole
+    known = Pieces(tokenizer)
+
+    def by_pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        cut = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        coded = cut.flatten().dictionary_encode()
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        starts, lengths = known.of(coded.dictionary.to_pylist())
+        lengths = lengths[at]
+        ends = np.cumsum(lengths)
+        within = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - lengths, lengths)
+        ids = known.pool[np.repeat(starts[at], lengths) + within]
+        edges = np.concatenate([[0], ends])[np.asarray(cut.offsets) - cut.offsets[0].as_py()]
+        return ids, np.diff(edges)
+
+    return by_pieces
+
+
+def portions(texts: pa.Array, most: int = 8 << 20) -> Iterator[pa.Array]:
+    """Slices of about `most` bytes, one text at least."""
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+    start, total = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > start and total + n > most:
+            yield texts.slice(start, i - start)
+            start, total = i, 0
+        total += n
+    if start < len(texts):
+        yield texts.slice(start)
 
 
 def id_width(path: str) -> int:
@@ -215,7 +282,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, sha
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, part, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], dtype="<u4")
+        end = np.array([end_id], dtype=f"<u{width}")
         keys: list[int | None] = []
         ids: list[np.ndarray] = []
         size = 0
@@ -225,13 +292,18 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, sha
             return pa.RecordBatch.from_pydict(row, pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("keys", pa.list_(pa.int64())), ("data", pa.binary())]))
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                keys.append(key)
-                ids.append(np.concatenate([run(text), end]).astype(f"<u{width}"))
-                size += width * len(ids[-1])
-                if size >= shard_bytes:
-                    yield shard()
-                    keys, ids, size, seq = [], [], 0, seq + 1
+            names, row = batch.column(0).to_pylist(), 0
+            for texts in portions(batch.column(1)):
+                flat, counts = run(texts)
+                flat, edges = flat.astype(end.dtype), np.concatenate([[0], np.cumsum(counts)]).tolist()
+                for lo, hi in zip(edges[:-1], edges[1:]):
+                    keys.append(names[row])
+                    ids.append(np.concatenate([flat[lo:hi], end]))
+                    size += width * (hi - lo + 1)
+                    row += 1
+                    if size >= shard_bytes:
+                        yield shard()
+                        keys, ids, size, seq = [], [], 0, seq + 1
         if keys:
             yield shard()
 
