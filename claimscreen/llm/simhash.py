@@ -8,7 +8,12 @@ Null texts count as empty and have fingerprint zero; null ids are the smallest
 of their component only when alone in it. Repeated rows share a fingerprint.
 
 The pipeline's stage (keep_one) has a contract in Jaccard similarity, which no
-SimHash distance decides: its candidates come from prefixes of shingle sets.
+SimHash distance decides: SimHash balls give its first links, prefixes of shingle
+sets the rest. Texts are named there by a 64-bit hash.
+
+Ties: of equal ids or texts no row is preferred. Extra columns are not read by
+near_duplicates and carried along by keep_one, whatever their names. No documents
+give no rows. Texts of any length are taken whole, their shingles in portions.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from claimscreen.llm.common import forget, held, id_and_text, in_bitmap, one_row_bitmap, partitions, possibly_among, ship_code, stored, words_of
+from claimscreen.llm.common import carried, forget, held, id_and_text, in_bitmap, one_row_bitmap, partitions, possibly_among, ship_code, stored, words_of
 from claimscreen.llm.components import components
 
 SEED = 42
@@ -174,26 +179,31 @@ def ordered_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return stored(rows.select("key", "set", "n", F.slice("s", 1, PARITY // 64).alias("odd"), F.slice("s", PARITY // 64 + 1, CELLS // 64).alias("sketch")), "sets")
 
 
+def both_sides(pairs: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
+    """The stored pairs (a, b) with columns of the rows with those keys, as <column>_a and <column>_b. Of rows(key, ...), only those in pairs travel."""
+    nodes = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
+    own = possibly_among(rows.select("key", *columns), "key", nodes, "node")
+    for side in "ab":
+        one = own.select(F.col("key").alias(f"k{side}"), *[F.col(c).alias(f"{c}_{side}") for c in columns])
+        pairs = pairs.join(one, F.col(side) == F.col(f"k{side}")).drop(f"k{side}")
+    return pairs
+
+
 def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) of keys whose sets have a Jaccard similarity of `similarity` or more. Whole sets travel only where bitmaps do not rule the pair out."""
-    small = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+    small = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct(), "pairs")
     # Of na + nb - 2 * common elements in one set only, at least the differing cells; similarity bounds them.
-    differing = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
-    total = F.col("na") + F.col("nb")
     for bitmap in ("odd", "sketch"):
-        for side in "ab":
-            own = sets.select(F.col("key").alias(f"k{side}"), F.col("n").alias(f"n{side}"), F.col(bitmap).alias(f"s{side}"))
-            small = small.join(own, F.col(side) == F.col(f"k{side}")).drop(f"k{side}")
-        small = stored(small.filter(differing * (1 + similarity) <= (1 - similarity) * total + 1e-6).select("a", "b"), "close")
-    pairs = small
-    for side in "ab":
-        own = sets.select(F.col("key").alias(f"k{side}"), F.col("set").alias(f"s{side}"))
-        pairs = pairs.join(own, F.col(side) == F.col(f"k{side}")).drop(f"k{side}")
-    both = held(pairs, {"c": F.size(F.array_intersect("sa", "sb")), "t": F.size("sa") + F.size("sb")})
+        differing = F.aggregate(F.zip_with(f"{bitmap}_a", f"{bitmap}_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
+        both = both_sides(small, sets, "n", bitmap)
+        before, small = small, stored(both.filter(differing * (1 + similarity) <= (1 - similarity) * (F.col("n_a") + F.col("n_b")) + 1e-6).select("a", "b"), "close")
+        forget(before)
+    both = both_sides(small, sets, "set")
+    both = held(both, {"c": F.size(F.array_intersect("set_a", "set_b")), "t": F.size("set_a") + F.size("set_b")})
     return stored(both.filter(F.col("c") >= similarity * (F.col("t") - F.col("c")) - 1e-9).select("a", "b"), "alike")
 
 
-def linked(met: DataFrame, compare: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+def linked(met: DataFrame, compare: Callable[[DataFrame], DataFrame], similarity: float, known: DataFrame | None = None) -> DataFrame:
     """node, component of the keys in met(g, key, n): the same as if all pairs of a g were compared.
 
     First all are compared with the smallest key of their g. Where a g's members
@@ -201,7 +211,8 @@ def linked(met: DataFrame, compare: Callable[[DataFrame], DataFrame], similarity
     compared with all members of other components: in small groups all at once,
     in crowded ones first a few, as they may join the rest. In the last round
     none is left out. compare gives the links among pairs (a, b); sizes n that
-    differ by more than the similarity are ruled out.
+    differ by more than the similarity are ruled out. known: links found before,
+    whose components need no comparing within.
     """
     # Most elements occur once: those are counted away before keys travel.
     several = stored(met.groupBy(F.col("g").alias("g2")).agg(F.count("*").alias("m")).filter("m > 1").select("g2"), "several")
@@ -209,7 +220,14 @@ def linked(met: DataFrame, compare: Callable[[DataFrame], DataFrame], similarity
     heads = rows.groupBy(F.col("g").alias("g2")).agg(F.min(F.struct("key", "n")).alias("head"), F.count("*").alias("m")).filter("m > 1")
     crowds = stored(rows.join(heads, F.col("g") == F.col("g2")).select("g", "key", "n", "head", "m"), "crowds")
     sizes = lambda x, y: F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9
-    links = compare(crowds.filter(sizes(F.col("n"), F.col("head.n"))).select(F.col("head.key").alias("a"), F.col("key").alias("b")))
+    first = crowds.filter(sizes(F.col("n"), F.col("head.n"))).select(F.col("head.key").alias("a"), F.col("key").alias("b"))
+    if known is None:
+        links = compare(first)
+    else:
+        together = stored(components(known), "together")
+        for side in "ab":
+            first = first.join(together.select(F.col("node").alias(f"n{side}"), F.col("component").alias(f"c{side}")), F.col(side) == F.col(f"n{side}"), "left")
+        links = stored(known.unionByName(compare(first.filter(~F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).select("a", "b"))), "links")
     joined = stored(components(links), "components")
     crowds = crowds.filter("m > 2").select("g", "key", "n", "m")
     for i, rate in enumerate(RATES):
@@ -229,18 +247,32 @@ def linked(met: DataFrame, compare: Callable[[DataFrame], DataFrame], similarity
     return joined.select("node", "component")
 
 
+def simhash_links(docs: DataFrame, sets: DataFrame, similarity: float, shingle: int, max_bits: int = 2) -> DataFrame:
+    """a, b: links among distinct texts whose SimHashes are equal or meet in a ball, verified on their sets. A text is compared with the first of each fingerprint in reach."""
+    fps = stored(fingerprints(docs, shingle).select("fp", "key").distinct(), "fingerprints")
+    heads = stored(fps.groupBy(F.col("fp").alias("hfp")).agg(F.min("key").alias("head")), "heads")
+    own = fps.join(heads, F.col("fp") == F.col("hfp")).select(F.col("head").alias("a"), F.col("key").alias("b"))
+    near = links(heads.select(F.col("hfp").alias("fp")), max_bits)
+    for side in "ab":
+        near = near.join(heads.select(F.col("hfp").alias(f"f{side}"), F.col("head").alias(f"k{side}")), F.col(side) == F.col(f"f{side}"))
+    return alike(own.unionByName(near.select(F.col("ka").alias("a"), F.col("kb").alias("b"))), sets, similarity)
+
+
 def verified_groups(docs: DataFrame, similarity: float = 0.8, verify: int = 5) -> DataFrame:
     """key, component: distinct texts that are linked, by their hashes.
 
     Texts are linked when their sets of `verify`-word shingles have a Jaccard
-    similarity of `similarity` or more. Such sets have ceil(similarity * n) of
-    either one's n shingles in common, so in one order for all sets they share
-    one of the first n - ceil(similarity * n) + 1: texts that share one of those
-    are candidates, and no pair is missed. SimHashes (op3) meet only some of them.
+    similarity of `similarity` or more. SimHash balls, as in near_duplicates, give
+    the first links; no distance of them decides that similarity, so others are
+    missed. Similar sets have ceil(similarity * n) of either one's n shingles in
+    common, so in one order for all sets they share one of the first
+    n - ceil(similarity * n) + 1: texts that share one of those and are not linked
+    yet are the other candidates, and no pair is missed.
     """
     sets = ordered_sets(docs, verify)
     met = sets.select("key", "n", F.explode(prefix(similarity)).alias("g"))
-    return linked(met, lambda pairs: alike(pairs, sets, similarity), similarity).select(F.col("node").alias("key"), "component")
+    known = simhash_links(docs, sets, similarity, verify)
+    return linked(met, lambda pairs: alike(pairs, sets, similarity), similarity, known).select(F.col("node").alias("key"), "component")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
@@ -250,8 +282,9 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     stay, as do rows that repeat the first one's id.
     """
     groups = verified_groups(docs, **options)
-    rows = id_and_text(docs).select("doc_id", F.xxhash64("text").alias("k"))
-    named = rows.join(groups, F.col("k") == F.col("key"), "left").withColumn("g", F.coalesce("component", "k"))
-    heads = named.groupBy("g").agg(F.min("doc_id").alias("__head")).select("__head").distinct()
-    kept = docs.join(heads, docs["doc_id"].cast("bigint") == heads["__head"], "left_semi")
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
+    key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    rows = carried(docs, id=docs["doc_id"].cast("bigint"), key=key)
+    named = rows.select("id", "key").join(groups.withColumnRenamed("key", "k"), F.col("key") == F.col("k"), "left").withColumn("g", F.coalesce("component", "key"))
+    heads = named.groupBy("g").agg(F.min("id").alias("head")).select("head").distinct()
+    kept = rows.join(heads, F.col("id") == F.col("head"), "left_semi")
+    return kept.unionByName(rows.filter(F.col("id").isNull())).select("row.*")
