@@ -10,16 +10,20 @@ number is set by sources times shards, not by documents.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from decimal import Decimal, localcontext
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimscreen.llm.common import WORD_GAP, ship_code, stored
+from claimscreen.llm.common import WORD_GAP, carried, ship_code, stored
 
 WEIGHTS = (3, 1, 2)
+HALF_LN_TAU = Decimal("0.91893853320467274178032973640561763986139747363778")
+#: Documents of a shard, on average, at least which its one task can hold many times over.
+SHARD_DOCS = 1_000_000
 
 
 def word_count(text: Column) -> Column:
@@ -52,14 +56,43 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return per.select("source", "source_size", filled.alias("target"))
 
 
+EXACT = 10**9  # the generator's range
+
+
+def log_factorial(n: int) -> Decimal:
+    """ln n! to more places than any quota has digits: Stirling's series beyond small n."""
+    if n < 256:
+        return Decimal(math.factorial(n)).ln()
+    x = Decimal(n)
+    series = 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5) - 1 / (1680 * x**7) + 1 / (1188 * x**9)
+    return (x + Decimal("0.5")) * x.ln() - x + HALF_LN_TAU + series
+
+
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
-    """Draws of good among n from good + bad. Beyond the generator's exact range, its rounded normal limit, clipped to what is possible."""
-    if good + bad < 10**9:
-        return int(rng.hypergeometric(good, bad, n)) if n else 0
+    """Draws of good among n from good + bad, of the exact law at any size.
+
+    Beyond the generator's range by ratio of uniforms: points under the law's
+    square root, seen from its mode, are drawn from a box that holds them all.
+    """
     total = good + bad
+    if not n or not good or not bad or n == total:
+        return n if not bad else good if n == total else 0
+    if total < EXACT:
+        return int(rng.hypergeometric(good, bad, n))
+    low, high = max(0, n - bad), min(good, n)
     mean = n * (good / total)
-    spread = np.sqrt(max(0.0, mean * (bad / total) * ((total - n) / (total - 1))))
-    return int(min(max(round(rng.normal(mean, spread)), n - bad, 0), good, n))
+    spread = math.sqrt(mean * (bad / total) * ((total - n) / (total - 1)) + 0.5)
+    mode = min(max((n + 1) * (good + 1) // (total + 2), low), high)
+    with localcontext() as context:
+        context.prec = 60
+        weight = lambda k: -sum(map(log_factorial, (k, good - k, n - k, bad - n + k)))
+        top = weight(mode)
+        while True:
+            u, v = 1 - rng.random(), rng.random()
+            # Stadlober's box: sqrt(8 / e) spreads wide, and a little more for whole numbers.
+            k = mode + math.floor(0.5 + mean - math.floor(mean) + (v - 0.5) / u * (math.sqrt(8 / math.e) * spread + 3 - 2 * math.sqrt(3 / math.e)))
+            if low <= k <= high and 2 * math.log(u) <= float(weight(k) - top):
+                return k
 
 
 def split_quota(held: np.ndarray, quota: int, seed: int) -> np.ndarray:
@@ -122,17 +155,21 @@ def row_key(seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.col("doc_id").cast("bigint"), "text")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, shards: int = 256, block: int = 64, seed: int = 7, ranges: bool = False) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, shards: int | None = None, block: int = 64, seed: int = 7, ranges: bool = False) -> DataFrame:
     """doc_id, source, size, source_size, target, taken, shard, rank, key; with ranges also starts and stops, the words of the part of a time: rank orders a shard's documents after its local shuffle, key is row_key(seed).
 
-    Nulls: a null text has size 0 and is taken 0 times, null sources form the
-    last source, null ids hash as such. Repeated rows are separate documents.
+    shards: output shards; by default 256, or as many as keep SHARD_DOCS documents
+    in each. Nulls: a null text has size 0 and is taken 0 times, null sources form
+    the last source, null ids hash as such. Repeated rows are separate documents.
     Taken words of a source sum to its rounded target. With fewer sources than
-    weights the first weights are used; no documents give no rows.
+    weights the first weights are used; no documents give no rows. Extra columns
+    are not read, whatever their names. Texts of any length are counted whole.
     """
     ship_code(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), row_key(seed).alias("key"))
-    rows = stored(rows.withColumn("shard", F.pmod("key", F.lit(shards)).cast("int")), "sizes")
+    rows = stored(rows, "sizes")
+    shards = shards or max(256, -(-rows.count() // SHARD_DOCS))
+    rows = rows.withColumn("shard", F.pmod("key", F.lit(shards)).cast("int"))
     goals = stored(targets(rows, weights, share, cap), "targets")
     held = rows.groupBy("source", "shard").agg(F.sum("size").alias("held"))
     held = held.join(goals, held["source"].eqNullSafe(goals["source"])).select(held["source"], "shard", "held", "source_size", "target")
@@ -190,17 +227,16 @@ def apply_mix(docs: DataFrame, seed: int = 7, **options) -> DataFrame:
     """
     own = mix(docs, seed=seed, ranges=True, **options).filter("taken > 0")
     drawn = F.struct("rank", F.expr("taken div size").alias("times"), "starts", "stops", (F.col("taken") % F.col("size")).alias("rest"))
-    own = own.groupBy(F.xxhash64("key", "source").alias("__k2")).agg(F.array_sort(F.collect_list(drawn)).alias("__all"))
-    rows = docs.withColumn("__k", F.xxhash64(row_key(seed), F.col("source").cast("string")))
-    rows = rows.withColumn("__i", F.row_number().over(Window.partitionBy("__k").orderBy("__k")))
-    rows = rows.join(own, F.col("__k") == F.col("__k2")).withColumn("__d", F.get("__all", F.col("__i") - 1)).filter("__d is not null")
-    parts = F.expr("array_append(array_repeat(false, cast(__d.times as int)), true)")
-    rows = rows.select("*", F.explode(parts).alias("__part")).filter(~F.col("__part") | (F.col("__d.rest") > 0))
+    own = own.groupBy(F.xxhash64("key", "source").alias("k2")).agg(F.array_sort(F.collect_list(drawn)).alias("every"))
+    key = F.xxhash64(row_key(seed), docs["source"].cast("string"))
+    rows = carried(docs, text=docs["text"], k=key)
+    rows = rows.withColumn("i", F.row_number().over(Window.partitionBy("k").orderBy("k")))
+    rows = rows.join(own, F.col("k") == F.col("k2")).withColumn("d", F.get("every", F.col("i") - 1)).filter("d is not null")
+    parts = F.expr("array_append(array_repeat(false, cast(d.times as int)), true)")
+    rows = rows.select("row", "text", "d", F.explode(parts).alias("part")).filter(~F.col("part") | (F.col("d.rest") > 0))
     # Each word with the white space behind it.
     words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1))
-    cut = lambda w: F.zip_with("__d.starts", "__d.stops", lambda lo, hi: F.regexp_replace(F.array_join(F.slice(w, (lo + 1).cast("int"), (hi - lo).cast("int")), ""), WORD_GAP + "$", ""))
-    text = F.when(F.col("__part"), F.get(F.transform(F.array(words), lambda w: F.array_join(cut(w), "\n")), F.lit(0))).otherwise(F.col("text"))
-    out = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__part"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    cut = lambda w: F.zip_with("d.starts", "d.stops", lambda lo, hi: F.regexp_replace(F.array_join(F.slice(w, (lo + 1).cast("int"), (hi - lo).cast("int")), ""), WORD_GAP + "$", ""))
+    rows = rows.withColumn("cut", F.when(F.col("part"), F.get(F.transform(F.array(words), lambda w: F.array_join(cut(w), "\n")), F.lit(0))))
+    new = {"text": F.col("cut"), "n_chars": F.length("cut").cast(dict(docs.dtypes).get("n_chars", "bigint"))}
+    return rows.select(*[F.when(F.col("part"), new[c]).otherwise(F.col(f"row.`{c}`")).alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns])

@@ -8,7 +8,9 @@ Distinct documents are distinct texts: exact copies of one document are a matter
 of deduplication and do not turn its lines into boilerplate. Nulls: a null text
 has no words and fails the base rules; null hosts form one host; null ids are
 carried along. Repeated rows get the same verdict, an empty table gives no rows,
-and columns other than doc_id, text and source are not looked at.
+and columns other than doc_id, text and source are not looked at, whatever their
+names. Texts and lines of any length are taken whole. Lines and texts are named by
+64-bit hashes.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimscreen.llm.common import held, stored, words_of
+from claimscreen.llm.common import carried, held, stored, words_of
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -36,10 +38,10 @@ class QualityLimits:
     min_words: int = 20
     repeat_window: int = 8
     repeat_percent: int = 30
-    line_docs: int = 20
-    line_share: float = 0.10
+    line_docs: int = 10
+    line_share: float = 0.02
     min_line_words: int = 3
-    max_lost_share: float = 0.70
+    max_lost_share: float = 0.50
 
 
 def repeated_starts(h: Column) -> Column:
@@ -136,27 +138,29 @@ def quality(docs: DataFrame, limits: QualityLimits = QualityLimits(), found: Dat
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), lost_words.alias("lost_words"), "host", "key")
 
 
+def named_rows(docs: DataFrame) -> DataFrame:
+    return carried(docs, text=docs["text"], host=docs["source"].cast("string"), key=F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
+
+
 def keep_good(docs: DataFrame, limits: QualityLimits = QualityLimits(), found: DataFrame | None = None) -> DataFrame:
     """Rows of docs that pass, with all their columns. The verdict belongs to host and text, so it needs no id."""
-    good = quality(docs, limits, found).filter("kept").select(F.col("host").alias("__host"), F.col("key").alias("__key")).distinct()
-    key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(good, docs["source"].cast("string").eqNullSafe(good["__host"]) & (key == good["__key"]), "left_semi")
+    good = quality(docs, limits, found).filter("kept").select(F.col("host").alias("h2"), F.col("key").alias("k2")).distinct()
+    return named_rows(docs).join(good, F.col("host").eqNullSafe(F.col("h2")) & (F.col("key") == F.col("k2")), "left_semi").select("row.*")
 
 
 def clean(docs: DataFrame, limits: QualityLimits = QualityLimits()) -> DataFrame:
     """Rows of docs that pass, without the removed lines, with their new length in n_chars if docs has that. Verdict and lines are of docs as they come."""
     found = stored(hits(keyed(docs), limits), "hits")
-    out = strip_lines(keep_good(docs.withColumn("__whole", F.length("text")), limits, found), limits, found)
-    if "n_chars" in docs.columns:
-        shorter = F.length("text") < F.col("__whole")
-        out = out.withColumn("n_chars", F.when(shorter, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return strip_lines(keep_good(docs, limits, found), limits, found)
 
 
 def strip_lines(docs: DataFrame, limits: QualityLimits = QualityLimits(), found: DataFrame | None = None) -> DataFrame:
-    """docs with the removed lines taken out of text; all other columns as they were."""
-    cut = (hits(keyed(docs), limits) if found is None else found).groupBy(F.col("host").alias("__host"), F.col("key").alias("__key")).agg(F.collect_set("h").alias("__cut"))
-    key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    out = docs.join(cut, docs["source"].cast("string").eqNullSafe(cut["__host"]) & (key == cut["__key"]), "left")
-    rest = F.array_join(F.filter(F.split(F.col("text"), "\n"), lambda x: ~F.array_contains("__cut", F.xxhash64(normalised(x)))), "\n")
-    return out.select(*[F.when(F.col("__cut").isNotNull(), rest).otherwise(F.col(c)).alias(c) if c == "text" else docs[c] for c in docs.columns])
+    """docs with the removed lines taken out of text, and the new length in n_chars if docs has that; all other columns as they were."""
+    cut = (hits(keyed(docs), limits) if found is None else found).groupBy(F.col("host").alias("h2"), F.col("key").alias("k2")).agg(F.collect_set("h").alias("cut"))
+    out = named_rows(docs).join(cut, F.col("host").eqNullSafe(F.col("h2")) & (F.col("key") == F.col("k2")), "left")
+    rest = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("cut", F.xxhash64(normalised(x)))), "\n")
+    out = out.withColumn("rest", F.when(F.col("cut").isNotNull(), rest))
+    shorter = F.col("rest").isNotNull()
+    kinds = dict(docs.dtypes)
+    new = {"text": F.col("rest"), "n_chars": F.length("rest").cast(kinds.get("n_chars", "bigint"))}
+    return out.select(*[F.when(shorter, new[c]).otherwise(F.col(f"row.`{c}`")).alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns])

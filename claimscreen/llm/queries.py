@@ -6,14 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from claimscreen.llm import decontaminate, lines, mixing, quality, repeats, simhash, tokencount, tokenstore, toxicity, windows
 from claimscreen.llm.common import documents, work_path
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text", tokencount.line_sections(F.col("text")).alias("sections"))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     return tokencount.token_counts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 

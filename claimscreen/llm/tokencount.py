@@ -9,7 +9,9 @@ Sections are character spans, given by a column or a table. They are taken in
 order of their start; where they overlap, a byte belongs to the last one started.
 Tokens outside of all sections are reported under a null section. Nulls: a null
 text is empty, a null list has no sections, bounds are clipped to the text.
-Repeated rows are separate documents. Extra columns are not read.
+Repeated rows are separate documents; a null id is reported as null. Extra columns
+are not read, whatever their names; no documents give no rows. Texts of any length
+are encoded whole, and their sections found in time that follows the length.
 """
 
 from __future__ import annotations
@@ -17,10 +19,11 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimscreen.llm.common import ship_code
@@ -43,14 +46,10 @@ def encoder(path: str, pattern: str):
     return tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), lengths
 
 
-def line_sections(text: Column) -> Column:
-    """A section for each line, its \\n included, numbered from 0."""
-    lengths = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.length(x).cast("bigint") + 1)
-    start = F.aggregate(
-        lengths, F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SECTIONS).alias("all")),
-        lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["all"], F.array(F.struct(F.size(acc["all"]).alias("section"), acc["at"].alias("start"), (acc["at"] + n).alias("end")))).alias("all")),
-    )
-    return start["all"]
+def line_spans(text: str) -> list[tuple[int, int, int]]:
+    """(number, start, end) of each line, its \\n included, in one pass."""
+    ends = list(accumulate(len(x) + 1 for x in text.split("\n")))
+    return list(zip(range(len(ends)), [0, *ends[:-1]], ends))
 
 
 def with_sections(docs: DataFrame, table: DataFrame) -> DataFrame:
@@ -93,10 +92,12 @@ def attribute(text: str, sections: list[tuple[int, int, int]], ids: list[int], l
 
 
 def token_counts(docs: DataFrame, tokenizer: str, pattern: str, rule: str = "most") -> DataFrame:
-    """doc_id, section, start, end, n_tokens, n_crossing, doc_tokens; docs has doc_id, text, sections."""
+    """doc_id, section, start, end, n_tokens, n_crossing, doc_tokens; docs has doc_id, text and sections, or without these each line is a section, numbered from 0."""
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
     ship_code(docs.sparkSession)
+    fields = ("section", "start", "end", "n_tokens", "n_crossing")
+    listed = "sections" in docs.columns
 
     @F.pandas_udf(COUNTS)
     def count(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -104,11 +105,12 @@ def token_counts(docs: DataFrame, tokenizer: str, pattern: str, rule: str = "mos
         for texts, sections in batches:
             out = []
             for text, own in zip(texts, sections, strict=True):
-                spans = [(s["section"], s["start"], s["end"]) for s in ([] if own is None else own)]
+                spans = line_spans(text) if not listed else [(s["section"], s["start"], s["end"]) for s in ([] if own is None else own)]
                 rows = attribute(text, spans, encoding.encode_ordinary(text), lengths, rule)
-                out.append([dict(zip(("section", "start", "end", "n_tokens", "n_crossing"), r, strict=True)) for r in rows])
+                out.append([dict(zip(fields, r, strict=True)) for r in rows])
             yield pd.Series(out)
 
-    rows = docs.select(F.col("doc_id").alias("doc_id"), count(F.coalesce("text", F.lit("")), F.col("sections").cast(SECTIONS)).alias("counts"))
+    own = F.col("sections").cast(SECTIONS) if listed else F.lit(None).cast(SECTIONS)
+    rows = docs.select(F.col("doc_id").alias("doc_id"), count(F.coalesce("text", F.lit("")), own).alias("counts"))
     total = F.aggregate("counts", F.lit(0).cast("bigint"), lambda acc, x: acc + x["n_tokens"])
     return rows.select("doc_id", total.alias("doc_tokens"), F.explode("counts").alias("c")).select("doc_id", "c.*", "doc_tokens")
