@@ -223,7 +223,7 @@ class Pieces:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+def encoder(path: str, keep: int = 1_000_000) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
     """Whole texts to their ids, one after the other, and the number of ids of each."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
@@ -237,7 +237,7 @@ def encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
 
     if not cuts_at_blanks(tokenizer, path):
         return whole
-    known = Pieces(tokenizer)
+    known = Pieces(tokenizer, keep)
 
     def by_pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         cut = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
