@@ -12,7 +12,7 @@ from claimscreen.operators.first_digit import distribution_report
 from claimscreen.plans import reports
 from claimscreen.plans.screening import ClaimScreen
 from claimscreen.sources.generate import write_sample
-from claimscreen.sources.io import read_claims, write_results
+from claimscreen.sources.io import read_claims, read_results, write_results
 
 log = logging.getLogger("claimscreen")
 FORMATS = ("parquet", "csv", "json")
@@ -47,7 +47,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def analyze(spark: SparkSession, args: argparse.Namespace) -> None:
-    results = spark.read.option("header", True).option("inferSchema", True).csv(args.results) if args.format == "csv" else spark.read.format(args.format).load(args.results)
+    results = read_results(spark, args.results, args.format)
     if args.report == "summary":
         reports.risk_summary(results).show(truncate=False, vertical=True)
     elif args.report == "providers":

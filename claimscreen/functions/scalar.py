@@ -14,10 +14,10 @@ def flag(condition: Column) -> Column:
 
 
 def haversine_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle distance. The root is clamped to 1: rounding above it would give NaN for antipodes."""
+    """Great-circle distance. The root is clamped to 1: rounding above it would give NaN for antipodes. NULL where a coordinate is."""
     half = lambda a, b: F.pow(F.sin(F.radians(b - a) / 2), F.lit(2))
     chord = half(lat1, lat2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half(lon1, lon2)
-    return 2 * EARTH_RADIUS_MILES * F.asin(F.least(F.lit(1.0), F.sqrt(chord)))
+    return 2 * EARTH_RADIUS_MILES * F.asin(F.when(chord > 1, F.lit(1.0)).otherwise(F.sqrt(chord)))
 
 
 def leading_digit(value: Column) -> Column:

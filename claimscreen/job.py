@@ -25,8 +25,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     try:
         spark = spark or SparkSession.builder.appName("claimscreen-job").getOrCreate()
         scored = ClaimScreen().detect(read_claims(spark, args.input, args.format))
-        write_partitioned(scored.withColumn("detection_date", F.current_date()), args.output)
-        written = spark.read.parquet(args.output).filter(F.col("detection_date") == F.current_date())
+        today = F.lit(spark.range(1).select(F.current_date()).first()[0])  # one date, also for a run over midnight
+        write_partitioned(scored.withColumn("detection_date", today), args.output)
+        written = spark.read.parquet(args.output).filter(F.col("detection_date") == today)
         counts = written.agg(F.count("*").alias("all"), F.count_if(F.col("is_duplicate")).alias("copies"), F.count_if(F.col("fraud_score") > 0.7).alias("high")).first()
         log.info("scored %d claims, %d high risk, %d duplicates", counts["all"], counts["high"], counts["copies"])
         return 0

@@ -52,11 +52,13 @@ def provider_outliers(df: DataFrame, charge: str = "charge_amount", provider: st
     The market is summed up from the provider sums, so the table is aggregated once.
     """
     x = F.col(charge)
-    mean = lambda total, n: F.try_divide(total.cast("double"), n)  # noqa: E731  decimals are summed exactly, in any order
     own = df.groupBy(F.col(provider).alias("__provider"), F.col(procedure).alias("__procedure")).agg(F.sum(x).alias("__sum"), F.count(x).alias("__n"))
-    market = own.groupBy(F.col("__procedure").alias("__market")).agg(mean(F.sum("__sum"), F.sum("__n")).alias("__avg"))
-    own = own.withColumn("provider_avg_charge", mean(F.col("__sum"), F.col("__n"))).join(market, F.col("__procedure") == F.col("__market"))
-    own = own.withColumn("charge_deviation_ratio", F.when(F.col("__avg") > 0, F.col("provider_avg_charge") / F.col("__avg")).otherwise(1.0))
+    market = own.groupBy(F.col("__procedure").alias("__market")).agg(F.sum("__sum").alias("__all"), F.sum("__n").alias("__m"))
+    # Decimals are summed exactly, in any order, and each result is one division of such sums.
+    average = F.try_divide(F.col("__sum").cast("double"), F.col("__n"))
+    ratio = F.try_divide((F.col("__sum") * F.col("__m")).cast("double"), (F.col("__all") * F.col("__n")).cast("double"))
+    own = own.join(market, F.col("__procedure") == F.col("__market")).withColumn("provider_avg_charge", average)
+    own = own.withColumn("charge_deviation_ratio", F.when(F.col("__all") > 0, ratio).otherwise(1.0))
     out = df.join(own, (df[provider] == own["__provider"]) & (df[procedure] == own["__procedure"]), "left")
     ratio = F.col("charge_deviation_ratio")
     hit = flag((ratio > cfg.provider_ratio_high) | (ratio < cfg.provider_ratio_low))

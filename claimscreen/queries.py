@@ -53,6 +53,17 @@ def on_claims(f: Callable[[DataFrame], DataFrame], *cols: str) -> Callable[[Spar
     return lambda spark, d: f(claims_from_star(spark, d)).selectExpr(*cols)
 
 
+def saved_report(name: str, *cols: str, **values: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A saved SQL report over the scored claims, with detection dates spread over four weeks."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        view = f"claimscreen_scored_{name}"
+        scored(spark, d).withColumn("detection_date", F.expr("date_add(date'2024-01-01', cast(cast(provider_id as bigint) % 28 as int))")).createOrReplaceTempView(view)
+        return reports.run_sql(spark, name, view, **values).selectExpr(*cols)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     provider_ratio = lambda c: outliers.provider_outliers(c, cfg=CFG)
     z = lambda c, by=None: outliers.zscore_outliers(c, "charge_amount", "charge_zscore_outlier", by, CFG)
@@ -77,7 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "zscore_by_provider": on_claims(lambda c: z(c, ["provider_id"]), "claim_id", "charge_zscore_outlier"),
         "iqr_global": on_claims(iqr, "claim_id", "charge_iqr_outlier"),
         "iqr_by_procedure": on_claims(lambda c: iqr(c, ["procedure_code"]), "claim_id", "charge_iqr_outlier"),
-        "provider_ratio": on_claims(provider_ratio, "claim_id", "round(provider_avg_charge + 1e-9, 6) as provider_avg_charge", "round(charge_deviation_ratio + 1e-9, 6) as charge_deviation_ratio", "provider_billing_outlier"),
+        "provider_ratio": on_claims(provider_ratio, "claim_id", r6("provider_avg_charge"), r6("charge_deviation_ratio"), "provider_billing_outlier"),
         "temporal_spike": on_claims(lambda c: outliers.temporal_spikes(c, cfg=CFG), "claim_id", "temporal_spike_flag"),
         "first_digit_global": on_claims(lambda c: first_digit.analyze(c, threshold=DIGIT_THRESHOLD), "claim_id", "benfords_anomaly"),
         "first_digit_by_provider": on_claims(lambda c: first_digit.analyze(c, group_by="provider_id"), "claim_id", "benfords_anomaly"),
@@ -93,6 +104,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "risky_providers_cli": lambda spark, d: reports.risky_providers(scored(spark, d)).selectExpr("provider_id", "flagged_claims", r6("avg_score"), cents("total_charges", "total_cents")),
         "high_risk_providers": lambda spark, d: reports.high_risk_providers(scored(spark, d)).selectExpr("provider_id", "flagged_claims", r6("avg_fraud_score"), cents("total_charges", "total_cents")),
         "duplicate_listing": lambda spark, d: reports.duplicate_listing(scored(spark, d)).selectExpr("claim_id", "duplicate_of", cents()),
+        "sql_high_risk_providers": saved_report("high_risk_providers", "provider_id", "flagged_claims", r6("avg_fraud_score"), cents("total_charges", "total_cents")),
+        "sql_duplicate_listing": saved_report("duplicate_listing", "claim_id", "duplicate_of", cents()),
+        "sql_flags_by_rule": saved_report("flags_by_rule", "rule", "count", cents("total_amount", "total_cents")),
+        "sql_recent_high_risk": saved_report("recent_high_risk", "claim_id", "provider_id", r6("fraud_score"), joined("fraud_reasons"), since="2024-01-15"),
         "flags_by_rule": lambda spark, d: reports.flags_by_rule(scored(spark, d)).selectExpr("rule", "count", cents("total_amount", "total_cents")),
     }
 
@@ -212,14 +227,21 @@ _BUNDLES = "(VALUES ('X1', 'Brand#11', 'Brand#12'), ('X2', 'Brand#21', 'Brand#33
 _SAME_DAY = "codes AS (SELECT patient_id, service_date, provider_id, list_sort(list(DISTINCT procedure_code)) AS same_day FROM claims GROUP BY patient_id, service_date, provider_id)"
 
 
+def _micros(a: str, b: str) -> str:
+    """The quotient of two whole numbers, a in millionths, rounded half up in whole numbers."""
+    return f"CAST((2 * ({a}) + ({b})) // (2 * ({b})) AS DOUBLE) / 1000000"
+
+
 def oracle_sql() -> dict[str, str]:
     grouped_z = lambda k: f"{_CLAIMS}, g AS (SELECT {k} AS k, avg(cents / 100.0) AS m, stddev_samp(cents / 100.0) AS sd FROM claims GROUP BY {k})"
     z = "coalesce(CASE WHEN sd > 0 THEN abs((cents / 100.0 - m) / sd) > 3 ELSE false END, false)"
     iqr = "cents / 100.0 < q1 - 1.5 * (q3 - q1) OR cents / 100.0 > q3 + 1.5 * (q3 - q1)"
     quartiles = "quantile_disc(cents / 100.0, 0.25) AS q1, quantile_disc(cents / 100.0, 0.75) AS q3"
+    pico = "sum(CAST(round(score * 1000000000000) AS HUGEINT))"
     providers = lambda score, limit, name: f"""{_SCORED}
-SELECT provider_id, count(*) AS flagged_claims, round(avg(score), 6) AS {name}, CAST(sum(cents) AS BIGINT) AS total_cents FROM scored WHERE score > {score} GROUP BY provider_id ORDER BY round(avg(score), 9) DESC, provider_id LIMIT {limit}"""
-    return {
+SELECT provider_id, count(*) AS flagged_claims, {_micros(pico, "count(*) * 1000000")} AS {name}, CAST(sum(cents) AS BIGINT) AS total_cents
+FROM scored WHERE score > {score} GROUP BY provider_id ORDER BY round(CAST({pico} AS DOUBLE) / 1000000000000 / count(*), 9) DESC, provider_id LIMIT {limit}"""
+    found = {
         "claims": f"{_CLAIMS} SELECT claim_id, patient_id, provider_id, procedure_code, CAST(service_date AS VARCHAR) AS service_date, cents AS charge_cents, patient_state, provider_state FROM claims",
         "daily_procedure_limit": f"{_CLAIMS} SELECT claim_id, count(*) OVER (PARTITION BY provider_id, service_date) AS daily_procedure_count, count(*) OVER (PARTITION BY provider_id, service_date) > 2 AS daily_procedure_limit_exceeded FROM claims",
         "patient_frequency": f"{_CLAIMS} SELECT claim_id, count(*) OVER (PARTITION BY patient_id, service_date) AS patient_daily_claims, count(*) OVER (PARTITION BY patient_id, service_date) > 1 AS patient_frequency_exceeded FROM claims",
@@ -237,7 +259,12 @@ SELECT provider_id, count(*) AS flagged_claims, round(avg(score), 6) AS {name},
         "zscore_by_provider": f"{grouped_z('provider_id')} SELECT claim_id, {z} AS charge_zscore_outlier FROM claims JOIN g ON provider_id = k",
         "iqr_global": f"{_CLAIMS}, g AS (SELECT {quartiles} FROM claims) SELECT claim_id, {iqr} AS charge_iqr_outlier FROM claims CROSS JOIN g",
         "iqr_by_procedure": f"{_CLAIMS}, g AS (SELECT procedure_code AS k, {quartiles} FROM claims GROUP BY procedure_code) SELECT claim_id, {iqr} AS charge_iqr_outlier FROM claims JOIN g ON procedure_code = k",
-        "provider_ratio": f"{_CLAIMS}, own AS (SELECT provider_id AS k1, procedure_code AS k2, sum(cents) / 100.0 / count(*) AS a FROM claims GROUP BY provider_id, procedure_code), market AS (SELECT procedure_code AS k3, sum(cents) / 100.0 / count(*) AS m FROM claims GROUP BY procedure_code), ratio AS (SELECT k1, k2, a, CASE WHEN m > 0 THEN a / m ELSE 1.0 END AS r FROM own JOIN market ON k2 = k3) SELECT claim_id, round(CAST(a AS DOUBLE) + 1e-9, 6) AS provider_avg_charge, round(CAST(r AS DOUBLE) + 1e-9, 6) AS charge_deviation_ratio, r > 2.0 OR r < 0.5 AS provider_billing_outlier FROM claims JOIN ratio ON provider_id = k1 AND procedure_code = k2",
+        "provider_ratio": f"""{_CLAIMS}
+, own AS (SELECT provider_id AS k1, procedure_code AS k2, CAST(sum(cents) AS HUGEINT) AS s, count(*) AS n FROM claims GROUP BY provider_id, procedure_code
+), market AS (SELECT procedure_code AS k3, CAST(sum(cents) AS HUGEINT) AS t, count(*) AS m FROM claims GROUP BY procedure_code
+), ratio AS (SELECT k1, k2, {_micros("s * 10000", "n")} AS a, CASE WHEN t > 0 THEN {_micros("s * m * 1000000", "t * n")} ELSE 1.0 END AS r, t > 0 AND (s * m > 2 * t * n OR 2 * s * m < t * n) AS hit
+  FROM own JOIN market ON k2 = k3)
+SELECT claim_id, a AS provider_avg_charge, r AS charge_deviation_ratio, hit AS provider_billing_outlier FROM claims JOIN ratio ON provider_id = k1 AND procedure_code = k2""",
         "temporal_spike": f"{_CLAIMS}, h AS (SELECT claim_id, cents / 100.0 AS x, avg(cents / 100.0) OVER (PARTITION BY provider_id ORDER BY year(service_date), weekofyear(service_date), service_date, claim_id ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS a FROM claims) SELECT claim_id, coalesce(a > 0 AND x > 3 * a, false) AS temporal_spike_flag FROM h",
         "first_digit_global": f"{_CLAIMS}, shares AS (SELECT d, count(*) * 1.0 / sum(count(*)) OVER () AS share FROM (SELECT {_DIGIT} AS d FROM claims) WHERE d IS NOT NULL GROUP BY d), over AS (SELECT s.d FROM shares s JOIN {_EXPECTED} ON s.d = e.d WHERE s.share - e.share > {DIGIT_THRESHOLD}) SELECT claim_id, coalesce({_DIGIT} IN (SELECT d FROM over), false) AS benfords_anomaly FROM claims",
         "first_digit_by_provider": f"{_CLAIMS}, counts AS (SELECT provider_id AS k, d, count(*) AS n FROM (SELECT provider_id, {_DIGIT} AS d FROM claims) WHERE d IS NOT NULL GROUP BY provider_id, d), g AS (SELECT k, max(abs(f - share)) > 0.15 AS bad FROM (SELECT k, d, n * 1.0 / sum(n) OVER (PARTITION BY k) AS f FROM counts) c JOIN {_EXPECTED} ON c.d = e.d GROUP BY k) SELECT claim_id, coalesce(bad, false) AS benfords_anomaly FROM claims LEFT JOIN g ON provider_id = k",
@@ -255,3 +282,9 @@ SELECT provider_id, count(*) AS flagged_claims, round(avg(score), 6) AS {name},
         "duplicate_listing": f"{_SCORED} SELECT claim_id, duplicate_of, cents AS charge_cents FROM scored WHERE is_duplicate",
         "flags_by_rule": f"{_SCORED} SELECT rule, count(*) AS count, CAST(sum(cents) AS BIGINT) AS total_cents FROM (SELECT unnest(string_split(violations, ',')) AS rule, cents FROM scored WHERE violations <> '') GROUP BY rule",
     }
+    found |= {f"sql_{name}": found[name] for name in ("high_risk_providers", "duplicate_listing", "flags_by_rule")}
+    return found | {
+        "sql_recent_high_risk": f"""{_SCORED}
+SELECT claim_id, provider_id, round(CAST(score AS DOUBLE), 6) AS fraud_score, reasons AS fraud_reasons FROM scored
+WHERE score > 0.7 AND CAST(provider_id AS BIGINT) % 28 >= 14 ORDER BY round(score, 9) DESC, claim_id LIMIT 50"""
+    }

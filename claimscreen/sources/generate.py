@@ -19,12 +19,15 @@ PROCEDURES = {
     "71046": (100, 250), "73030": (75, 200), "99283": (200, 400), "99284": (300, 600),
 }
 #: Diagnosis codes, states, places of service, round amounts.
-DIAGNOSES = "J06.9 M54.5 E11.9 I10 F32.9 J45.909 M25.561 R51.9 K21.0 N39.0".split()
-STATES = (
-    "AL AK AZ AR CA CO CT DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO "
-    "MT NE NV NH NJ NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY"
-).split()
-PLACES = "11 21 22 23 31 81".split()
+DIAGNOSES = ["J06.9", "M54.5", "E11.9", "I10", "F32.9", "J45.909", "M25.561", "R51.9", "K21.0", "N39.0"]
+STATES = [
+    "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA",
+    "HI", "ID", "IL", "IN", "IA", "KS", "KY", "LA", "ME", "MD",
+    "MA", "MI", "MN", "MS", "MO", "MT", "NE", "NV", "NH", "NJ",
+    "NM", "NY", "NC", "ND", "OH", "OK", "OR", "PA", "RI", "SC",
+    "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI", "WY",
+]
+PLACES = ["11", "21", "22", "23", "31", "81"]
 ROUND_AMOUNTS = [100, 200, 500, 1000, 1500, 2000]
 
 

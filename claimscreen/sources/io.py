@@ -24,6 +24,15 @@ def read_claims(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.
     raise ValueError(f"unknown format: {fmt}")
 
 
+#: Scored claims as flat text holds them.
+SCORED_CSV = "claim_id string, patient_id string, provider_id string, charge_amount decimal(10,2), fraud_score double, fraud_reasons string, rule_violations string, statistical_flags string, is_duplicate boolean, duplicate_of string, processed_at timestamp"
+
+
+def read_results(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Scored claims as write_results writes them."""
+    return spark.read.schema(SCORED_CSV).option("header", True).csv(path) if fmt == "csv" else spark.read.format(fmt).load(path)
+
+
 def flatten_arrays(df: DataFrame) -> DataFrame:
     """Arrays as comma-separated text, for formats without nesting."""
     return df.select([F.concat_ws(", ", c).alias(c) if kind.startswith("array<string") else F.col(c) for c, kind in df.dtypes])
