@@ -105,6 +105,16 @@ def one_row_bitmap(hashes: DataFrame, column: str, bits: int) -> DataFrame:
     return stored(dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "set"))), lambda x: x["set"]).alias("__bitmap")), "bitmap")
 
 
+def literal_bitmap(hashes: DataFrame, column: str, bits: int) -> str:
+    """SQL of the same array as a literal, which lambdas read without a copy a row. It is part of the plan's text: bits must be few."""
+    at = F.col(column).bitwiseAND(bits - 1)
+    filled = hashes.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("set"))
+    cells = [0] * (bits // 64)
+    for r in filled.collect():  # bits / 64 rows at most
+        cells[r["cell"]] = r["set"]
+    return f"cast(split('{','.join(map(str, cells))}', ',') as array<bigint>)"
+
+
 def in_bitmap(bitmap: str, value: str, bits: int) -> str:
     """SQL: whether the bit of value is set."""
     return f"getbit(element_at({bitmap}, cast(shiftright({value} & {bits - 1}L, 6) + 1 as int)), cast({value} & 63L as int)) = 1"

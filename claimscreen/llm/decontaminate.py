@@ -24,10 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimscreen.llm.common import carried, fixed_bits, held, in_bitmap, one_row_bitmap, stored
+from claimscreen.llm.common import carried, fixed_bits, held, in_bitmap, literal_bitmap, stored
 
 MASKS = ("11101011", "110100111")
 WINDOW, AGREE, LEAST_WORDS = 13, 11, 5
+#: Beyond some 500,000 benchmark words the bitmap lets most seeds through, and the join does the work.
+MOST_BITS = 1 << 20
 
 
 def word_hashes(text: Column) -> Column:
@@ -76,10 +78,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
     for m in short_masks:
         wanted = wanted.unionByName(seed_rows(items.filter(size == m[2]), ["item_id"], [m]))
     wanted = stored(wanted.distinct(), "seeds")
-    bits = fixed_bits(wanted.count(), 256)
+    bits = fixed_bits(wanted.count(), 128, most=MOST_BITS)
+    bitmap = literal_bitmap(wanted, "seed", bits)
     texts = docs.select("doc_id", *text_keys(), F.col("text").alias("__t"))
-    texts = held(texts, {"__h": word_hashes(F.col("__t"))}).drop("__t").join(F.broadcast(one_row_bitmap(wanted, "seed", bits)))
-    found = seed_rows(texts, ["doc_id", "key", "key2"], long_masks + short_masks, in_bitmap("__bitmap", "seed", bits))
+    texts = held(texts, {"__h": word_hashes(F.col("__t"))}).drop("__t")
+    found = seed_rows(texts, ["doc_id", "key", "key2"], long_masks + short_masks, in_bitmap(bitmap, "seed", bits))
     item = wanted.select("item_id", F.col("seed").alias("s2"), F.col("mask").alias("m2"), F.col("words").alias("w2"))
     both = found.join(item, (found["seed"] == item["s2"]) & (found["mask"] == item["m2"]))
     same = F.zip_with("words", "w2", lambda a, b: F.when(a == b, F.lit(1)).otherwise(F.lit(0)))
