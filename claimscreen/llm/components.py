@@ -43,4 +43,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = now.select(F.col("v").alias("node")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
+    out = stored(now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component"))), "components")
+    forget(now)
+    return out

@@ -229,13 +229,13 @@ def apply_mix(docs: DataFrame, seed: int = 7, **options) -> DataFrame:
     drawn = F.struct("rank", F.expr("taken div size").alias("times"), "starts", "stops", (F.col("taken") % F.col("size")).alias("rest"))
     own = own.groupBy(F.xxhash64("key", "source").alias("k2")).agg(F.array_sort(F.collect_list(drawn)).alias("every"))
     key = F.xxhash64(row_key(seed), docs["source"].cast("string"))
-    rows = carried(docs, text=docs["text"], k=key)
+    rows = carried(docs, k=key)
     rows = rows.withColumn("i", F.row_number().over(Window.partitionBy("k").orderBy("k")))
     rows = rows.join(own, F.col("k") == F.col("k2")).withColumn("d", F.get("every", F.col("i") - 1)).filter("d is not null")
     parts = F.expr("array_append(array_repeat(false, cast(d.times as int)), true)")
-    rows = rows.select("row", "text", "d", F.explode(parts).alias("part")).filter(~F.col("part") | (F.col("d.rest") > 0))
+    rows = rows.select("row", "d", F.explode(parts).alias("part")).filter(~F.col("part") | (F.col("d.rest") > 0))
     # Each word with the white space behind it.
-    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1))
+    words = F.regexp_extract_all("row.text", F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1))
     cut = lambda w: F.zip_with("d.starts", "d.stops", lambda lo, hi: F.regexp_replace(F.array_join(F.slice(w, (lo + 1).cast("int"), (hi - lo).cast("int")), ""), WORD_GAP + "$", ""))
     rows = rows.withColumn("cut", F.when(F.col("part"), F.get(F.transform(F.array(words), lambda w: F.array_join(cut(w), "\n")), F.lit(0))))
     new = {"text": F.col("cut"), "n_chars": F.length("cut").cast(dict(docs.dtypes).get("n_chars", "bigint"))}

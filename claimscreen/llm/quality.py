@@ -139,28 +139,39 @@ def quality(docs: DataFrame, limits: QualityLimits = QualityLimits(), found: Dat
 
 
 def named_rows(docs: DataFrame) -> DataFrame:
-    return carried(docs, text=docs["text"], host=docs["source"].cast("string"), key=F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
+    return carried(docs, host=docs["source"].cast("string"), key=F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
+
+
+def good_keys(docs: DataFrame, limits: QualityLimits, found: DataFrame | None) -> DataFrame:
+    return quality(docs, limits, found).filter("kept").select(F.col("host").alias("h2"), F.col("key").alias("k2")).distinct()
+
+
+def cut_keys(found: DataFrame) -> DataFrame:
+    return found.groupBy(F.col("host").alias("ch"), F.col("key").alias("ck")).agg(F.collect_set("h").alias("cut"))
+
+
+def without_cut(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows (as named_rows names them, with cut) as docs has them, without the lines of cut, and their new length in n_chars if docs has that."""
+    rest = F.array_join(F.filter(F.split("row.text", "\n"), lambda x: ~F.array_contains("cut", F.xxhash64(normalised(x)))), "\n")
+    out = rows.withColumn("rest", F.when(F.col("cut").isNotNull(), rest))
+    new = {"text": F.col("rest"), "n_chars": F.length("rest").cast(dict(docs.dtypes).get("n_chars", "bigint"))}
+    return out.select(*[F.when(F.col("rest").isNotNull(), new[c]).otherwise(F.col(f"row.`{c}`")).alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def keep_good(docs: DataFrame, limits: QualityLimits = QualityLimits(), found: DataFrame | None = None) -> DataFrame:
     """Rows of docs that pass, with all their columns. The verdict belongs to host and text, so it needs no id."""
-    good = quality(docs, limits, found).filter("kept").select(F.col("host").alias("h2"), F.col("key").alias("k2")).distinct()
-    return named_rows(docs).join(good, F.col("host").eqNullSafe(F.col("h2")) & (F.col("key") == F.col("k2")), "left_semi").select("row.*")
+    return named_rows(docs).join(good_keys(docs, limits, found), F.col("host").eqNullSafe(F.col("h2")) & (F.col("key") == F.col("k2")), "left_semi").select("row.*")
 
 
 def clean(docs: DataFrame, limits: QualityLimits = QualityLimits()) -> DataFrame:
-    """Rows of docs that pass, without the removed lines, with their new length in n_chars if docs has that. Verdict and lines are of docs as they come."""
+    """Rows of docs that pass, without the removed lines. Verdict and lines are of docs as they come; whole rows travel once."""
     found = stored(hits(keyed(docs), limits), "hits")
-    return strip_lines(keep_good(docs, limits, found), limits, found)
+    cut = cut_keys(found)
+    good = good_keys(docs, limits, found).join(cut, F.col("h2").eqNullSafe(F.col("ch")) & (F.col("k2") == F.col("ck")), "left").select("h2", "k2", "cut")
+    return without_cut(named_rows(docs).join(good, F.col("host").eqNullSafe(F.col("h2")) & (F.col("key") == F.col("k2"))), docs)
 
 
 def strip_lines(docs: DataFrame, limits: QualityLimits = QualityLimits(), found: DataFrame | None = None) -> DataFrame:
-    """docs with the removed lines taken out of text, and the new length in n_chars if docs has that; all other columns as they were."""
-    cut = (hits(keyed(docs), limits) if found is None else found).groupBy(F.col("host").alias("h2"), F.col("key").alias("k2")).agg(F.collect_set("h").alias("cut"))
-    out = named_rows(docs).join(cut, F.col("host").eqNullSafe(F.col("h2")) & (F.col("key") == F.col("k2")), "left")
-    rest = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("cut", F.xxhash64(normalised(x)))), "\n")
-    out = out.withColumn("rest", F.when(F.col("cut").isNotNull(), rest))
-    shorter = F.col("rest").isNotNull()
-    kinds = dict(docs.dtypes)
-    new = {"text": F.col("rest"), "n_chars": F.length("rest").cast(kinds.get("n_chars", "bigint"))}
-    return out.select(*[F.when(shorter, new[c]).otherwise(F.col(f"row.`{c}`")).alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns])
+    """docs with the removed lines taken out of text; all other columns as they were."""
+    cut = cut_keys(hits(keyed(docs), limits) if found is None else found)
+    return without_cut(named_rows(docs).join(cut, F.col("host").eqNullSafe(F.col("ch")) & (F.col("key") == F.col("ck")), "left"), docs)

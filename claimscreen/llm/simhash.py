@@ -218,23 +218,25 @@ def linked(met: DataFrame, compare: Callable[[DataFrame], DataFrame], similarity
     several = stored(met.groupBy(F.col("g").alias("g2")).agg(F.count("*").alias("m")).filter("m > 1").select("g2"), "several")
     rows = stored(possibly_among(met, "g", several, "g2"), "met")
     heads = rows.groupBy(F.col("g").alias("g2")).agg(F.min(F.struct("key", "n")).alias("head"), F.count("*").alias("m")).filter("m > 1")
-    crowds = stored(rows.join(heads, F.col("g") == F.col("g2")).select("g", "key", "n", "head", "m"), "crowds")
+    crowds = every = stored(rows.join(heads, F.col("g") == F.col("g2")).select("g", "key", "n", "head", "m"), "crowds")
     sizes = lambda x, y: F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9
     first = crowds.filter(sizes(F.col("n"), F.col("head.n"))).select(F.col("head.key").alias("a"), F.col("key").alias("b"))
     if known is None:
         links = compare(first)
     else:
-        together = stored(components(known), "together")
+        together = components(known)
         for side in "ab":
             first = first.join(together.select(F.col("node").alias(f"n{side}"), F.col("component").alias(f"c{side}")), F.col(side) == F.col(f"n{side}"), "left")
         links = stored(known.unionByName(compare(first.filter(~F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).select("a", "b"))), "links")
-    joined = stored(components(links), "components")
-    crowds = crowds.filter("m > 2").select("g", "key", "n", "m")
+    joined = components(links)
+    forget(several, rows)
+    crowds, left = every.filter("m > 2").select("g", "key", "n", "m"), [every]
     for i, rate in enumerate(RATES):
         rows = crowds.join(joined, crowds["key"] == joined["node"], "left").select("g", "key", "n", "m", F.coalesce("component", "key").alias("c"))
         parts = rows.groupBy("g", "c").agg(F.count("*").alias("k")).groupBy("g").agg(F.max(F.struct("k", "c")).alias("main"), F.count("*").alias("parts"))
         parts = parts.filter("parts > 1").select(F.col("g").alias("g2"), F.col("main.c").alias("main"))
         rows = stored(rows.join(parts, F.col("g") == F.col("g2")).drop("g2"), "apart")
+        left.append(rows)
         if rows.isEmpty():
             break
         turn = F.pmod("key", F.lit(rate)) == 0
@@ -242,9 +244,11 @@ def linked(met: DataFrame, compare: Callable[[DataFrame], DataFrame], similarity
         first = first.select(F.col("g").alias("g2"), F.col("key").alias("a"), F.col("c").alias("c2"), F.col("n").alias("n2"))
         pairs = rows.join(first, (F.col("g") == F.col("g2")) & (F.col("c") != F.col("c2")) & sizes(F.col("n"), F.col("n2"))).select("a", F.col("key").alias("b"))
         links = stored(links.unionByName(compare(pairs)), "links")
-        joined = stored(components(links), "components")
+        left += [links, joined]
+        joined = components(links)
         crowds = rows.filter(F.col("m") > CROWD).select("g", "key", "n", "m")
-    return joined.select("node", "component")
+    forget(*left)
+    return joined
 
 
 def simhash_links(docs: DataFrame, sets: DataFrame, similarity: float, shingle: int, max_bits: int = 2) -> DataFrame:
@@ -255,7 +259,9 @@ def simhash_links(docs: DataFrame, sets: DataFrame, similarity: float, shingle:
     near = links(heads.select(F.col("hfp").alias("fp")), max_bits)
     for side in "ab":
         near = near.join(heads.select(F.col("hfp").alias(f"f{side}"), F.col("head").alias(f"k{side}")), F.col(side) == F.col(f"f{side}"))
-    return alike(own.unionByName(near.select(F.col("ka").alias("a"), F.col("kb").alias("b"))), sets, similarity)
+    out = alike(own.unionByName(near.select(F.col("ka").alias("a"), F.col("kb").alias("b"))), sets, similarity)
+    forget(fps, heads)
+    return out
 
 
 def verified_groups(docs: DataFrame, similarity: float = 0.8, verify: int = 5) -> DataFrame:
@@ -272,7 +278,9 @@ def verified_groups(docs: DataFrame, similarity: float = 0.8, verify: int = 5) -
     sets = ordered_sets(docs, verify)
     met = sets.select("key", "n", F.explode(prefix(similarity)).alias("g"))
     known = simhash_links(docs, sets, similarity, verify)
-    return linked(met, lambda pairs: alike(pairs, sets, similarity), similarity, known).select(F.col("node").alias("key"), "component")
+    found = linked(met, lambda pairs: alike(pairs, sets, similarity), similarity, known)
+    forget(sets, known)
+    return found.select(F.col("node").alias("key"), "component")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:

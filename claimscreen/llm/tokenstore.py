@@ -193,13 +193,13 @@ class Pieces:
 
     TOGETHER = 256
 
-    def __init__(self, tokenizer, keep: int = 1_000_000) -> None:
+    def __init__(self, tokenizer, keep: int = 400_000) -> None:
         self.tokenizer, self.keep = tokenizer, keep
         self.clear()
 
     def clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.starts, self.lengths, self.pool = (np.zeros(0, np.int64) for _ in range(3))
+        self.starts, self.lengths, self.pool = (np.zeros(0, np.int32) for _ in range(3))
 
     def of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """First place in the pool, and length, of each distinct piece."""
@@ -212,18 +212,18 @@ class Pieces:
                 found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
                 sizes = np.fromiter(map(len, some), np.int64, len(some)) + 1
                 owner = np.searchsorted(np.cumsum(sizes) - sizes, np.array([x for x, _ in found.offsets], np.int64), side="right") - 1
-                ids.append(np.array(found.ids, np.int64))
+                ids.append(np.array(found.ids, np.int32))
                 lengths.append(np.bincount(owner, minlength=len(some)))
             lengths = np.concatenate(lengths)
-            self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lengths) - lengths])
-            self.lengths, self.pool = np.concatenate([self.lengths, lengths]), np.concatenate([self.pool, *ids])
+            self.starts = np.concatenate([self.starts, (len(self.pool) + np.cumsum(lengths) - lengths).astype(np.int32)])
+            self.lengths, self.pool = np.concatenate([self.lengths, lengths.astype(np.int32)]), np.concatenate([self.pool, *ids])
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
         at = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
-        return self.starts[at], self.lengths[at]
+        return self.starts[at].astype(np.int64), self.lengths[at].astype(np.int64)
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, keep: int = 1_000_000) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+def encoder(path: str, keep: int = 400_000) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
     """Whole texts to their ids, one after the other, and the number of ids of each."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
@@ -254,7 +254,7 @@ def encoder(path: str, keep: int = 1_000_000) -> Callable[[pa.Array], tuple[np.n
     return by_pieces
 
 
-def portions(texts: pa.Array, most: int = 8 << 20) -> Iterator[pa.Array]:
+def portions(texts: pa.Array, most: int = 4 << 20) -> Iterator[pa.Array]:
     """Slices of about `most` bytes, one text at least."""
     sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
     start, total = 0, 0
