@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,6 +66,19 @@ def ship_code(spark: SparkSession) -> None:
     context._claimscreen_shipped = True
 
 
+def trimmed(results: Iterator) -> Iterator:
+    """The results as they come; before each is asked for, memory that earlier batches have freed goes back to the system, as workers outlive their tasks."""
+    import pyarrow as pa
+
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    for x in results:
+        yield x
+        del x
+        pa.default_memory_pool().release_unused()
+        if trim:
+            trim(0)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

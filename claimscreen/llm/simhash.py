@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from claimscreen.llm.common import carried, forget, held, id_and_text, in_bitmap, one_row_bitmap, partitions, possibly_among, ship_code, stored, words_of
+from claimscreen.llm.common import carried, forget, held, id_and_text, in_bitmap, one_row_bitmap, partitions, possibly_among, ship_code, stored, trimmed, words_of
 from claimscreen.llm.components import components
 
 SEED = 42
@@ -63,8 +63,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = SEED) -> DataFra
     ship_code(docs.sparkSession)
     @F.pandas_udf("bigint")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(np.array([fingerprint(t, shingle, seed) for t in texts], dtype=np.uint64).view(np.int64))
+        yield from trimmed(pd.Series(np.array([fingerprint(t, shingle, seed) for t in texts], dtype=np.uint64).view(np.int64)) for texts in batches)
 
     return id_and_text(docs).select("doc_id", of("text").alias("fp"), F.xxhash64("text").alias("key"))
 
@@ -123,6 +122,10 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return held(rows.select("key", "__h"), {"set": F.array_distinct(runs)}).select("key", "set")
 
 
+def sketches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    yield from trimmed(map(sketch, batches))
+
+
 def sketch(sets: pd.Series) -> pd.Series:
     """Two bitmaps, of PARITY and of CELLS cells. Sets differ in at least as many elements as either bitmaps do in cells."""
     out = []
@@ -175,7 +178,7 @@ def ordered_sets(docs: DataFrame, shingle: int) -> DataFrame:
     """key, set, n, odd, sketch: shingle_sets with common shingles last, their sizes and bitmaps."""
     some = shingle_sets(docs.filter(F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(SAMPLE)) == 0), shingle)
     rows = rare_first(shingle_sets(docs, shingle), some)
-    rows = rows.select("key", "set", F.size("set").alias("n"), F.pandas_udf(sketch, "array<bigint>")("set").alias("s"))
+    rows = rows.select("key", "set", F.size("set").alias("n"), F.pandas_udf(sketches, "array<bigint>")("set").alias("s"))
     return stored(rows.select("key", "set", "n", F.slice("s", 1, PARITY // 64).alias("odd"), F.slice("s", PARITY // 64 + 1, CELLS // 64).alias("sketch")), "sets")
 
 

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimscreen.llm.common import id_and_text, partitions, ship_code
+from claimscreen.llm.common import id_and_text, partitions, ship_code, trimmed
 
 MAGIC = b"CSTK0001"
 NO_KEY = -(2**63)
@@ -193,7 +193,7 @@ class Pieces:
 
     TOGETHER = 256
 
-    def __init__(self, tokenizer, keep: int = 400_000) -> None:
+    def __init__(self, tokenizer, keep: int = 300_000) -> None:
         self.tokenizer, self.keep = tokenizer, keep
         self.clear()
 
@@ -223,7 +223,7 @@ class Pieces:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, keep: int = 400_000) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+def encoder(path: str, keep: int = 300_000) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
     """Whole texts to their ids, one after the other, and the number of ids of each."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
@@ -311,7 +311,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, sha
     # The text's hash splits ranges of one repeated id and fixes the order of its rows.
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     placed = rows.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
-    placed.mapInArrow(encode, fields).write.mode("overwrite").parquet(f"{path}/shards")
+    placed.mapInArrow(lambda batches: trimmed(encode(batches)), fields).write.mode("overwrite").parquet(f"{path}/shards")
     write_routes(spark, path)
 
 
@@ -376,7 +376,7 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
                     }
                 )
 
-    each = shards.select("part", "seq", "data").mapInArrow(digest, "part int, seq int, doc_id bigint, at bigint, n_tokens bigint, ids_crc32 bigint")
+    each = shards.select("part", "seq", "data").mapInArrow(lambda batches: trimmed(digest(batches)), "part int, seq int, doc_id bigint, at bigint, n_tokens bigint, ids_crc32 bigint")
     sizes = shards.select("part", "seq", "n_ids")
     parts = sizes.groupBy(F.col("part").alias("p")).agg(F.sum("n_ids").alias("all"))
     before = F.coalesce(F.sum("all").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
