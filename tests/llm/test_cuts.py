@@ -1,6 +1,7 @@
 """Window and suffix-array dedup against brute force."""
 
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -58,6 +59,21 @@ def test_repeats(spark, crowd):
     assert got(repeats.remove_repeats(df, length=100, crowd=crowd), *cols) == brute_repeats(fx.pairs(df), 100)
 
 
+def test_repeats_of_cut_passages(spark):
+    """Documents that end at different places of a passage, so that contexts share long and very long prefixes."""
+    rng = random.Random(5)
+    texts = []
+    for alphabet in ("abcdefghij klm", "ab", "ab\u00e9\0 ") * 20:
+        word = lambda n: "".join(rng.choice(alphabet) for _ in range(n))  # noqa: B023, E731
+        base = word(rng.randrange(500, 1500))
+        for _ in range(10):
+            start = rng.randrange(len(base) // 3)
+            texts.append(word(rng.randrange(20)) + base[start : rng.randrange(start, len(base) + 1)] + word(rng.randrange(20)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    cols = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got(repeats.remove_repeats(df), *cols) == brute_repeats(fx.pairs(df), 400)
+
+
 def test_repeats_empty(spark):
     assert repeats.remove_repeats(fx.empty(spark)).collect() == []
 
