@@ -74,3 +74,19 @@ def test_any_edits(spark):
 
 def test_documents(spark):
     check(spark, [(d, t) for d, t in fx.pairs(fx.documents(spark)) if d is not None])
+
+
+def test_crowd_is_compared_with_its_centre(spark, monkeypatch):
+    """Variants that are alike to one text only, which is not the first of them: few pairs are compared, all are found."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**9)}" for _ in range(150)]
+    texts = [" ".join(base)]
+    for _ in range(240):
+        words = list(base)
+        for at in rng.sample(range(5, 145, 5), 3):
+            words[at] = f"new{rng.randrange(10**9)}"
+        texts.append(" ".join(words))
+    compared, alike = [], simhash.alike
+    monkeypatch.setattr(simhash, "alike", lambda pairs, *rest: compared.append(pairs.distinct().count()) or alike(pairs, *rest))
+    assert check(spark, list(enumerate(texts))) == [0]
+    assert sum(compared) <= 5 * len(texts)
