@@ -184,17 +184,48 @@ def cuts_at_blanks(tokenizer, path: str) -> bool:
     return dropping and all(ids(f"{x}{blank}{y}") == ids(x) + ids(y) and ids(f"{blank}{x}{blank}") == ids(x) for blank in " \t\n\x0b\x0c\r" for x in pieces for y in pieces)
 
 
+#: Pieces whose ids a worker keeps: some 120 MB.
+KEEP = 600_000
+#: Words, digits and the rest apart: of a tokenizer that cuts so after lower-casing, ASCII pieces fall into shorter ones that recur more often.
+WORDS_APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Pieces for which that holds by the pattern: no apostrophe, and no < that may begin a special token.
+PLAIN = r"^[!-&(-;=-~]+$"
+
+
+def cuts_at_letters(tokenizer, path: str) -> bool:
+    """Whether a PLAIN piece's ids are those of its runs of letters and of other characters in lower case, in turn."""
+    with open(path, encoding="utf-8") as f:
+        config = json.load(f)
+    normal, step = config.get("normalizer") or {}, config.get("pre_tokenizer") or {}
+    kinds = [x.get("type") for x in (normal.get("normalizers") or [] if normal.get("type") == "Sequence" else [normal])]
+    step = (step.get("pretokenizers") or [{}])[0] if step.get("type") == "Sequence" else step
+    known = "Lowercase" in kinds and set(kinds) <= {"NFC", "Replace", "Lowercase"} and (step.get("pattern") or {}).get("Regex") == WORDS_APART
+    special = all(t["content"].startswith("<") for t in config.get("added_tokens") or [])
+    ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    probes = ["Word,", "(A1b22)", "x...Y", "e.g.", "#Tag_3", "-a--B-", "$5.00", "HANT,!!", "a|>b", '"Q"']
+    alone = lambda text: [t.id for t in tokenizer.model.tokenize(text)]
+    known = known and all(ids(x) == alone(x) for x in ("a", "the", "internationally", "zqxjkvb"))
+    return known and special and all(ids(x) == [i for c in runs_apart(pa.array([x]))[0].as_py() for i in ids(c)] for x in probes)
+
+
+def runs_apart(pieces: pa.Array) -> pa.Array:
+    """A list for each piece: the runs of a PLAIN one in lower case, any other piece alone."""
+    spaced = pc.ascii_trim_whitespace(pc.replace_substring_regex(pc.ascii_lower(pieces), r"([a-z]+)", r" \1 "))
+    return pc.ascii_split_whitespace(pc.if_else(pc.match_substring_regex(pieces, PLAIN), spaced, pieces))
+
+
 class Pieces:
     """Ids of pieces of text, each encoded once and kept in one array; all are dropped at `keep` pieces.
 
     New pieces are encoded many at a time, with a blank between them; ids are told
-    apart by their place in that text.
+    apart by their place in that text. model: the tokenizer's, where it takes words
+    of a to z as they are, without what comes before it.
     """
 
     TOGETHER = 256
 
-    def __init__(self, tokenizer, keep: int = 300_000) -> None:
-        self.tokenizer, self.keep = tokenizer, keep
+    def __init__(self, tokenizer, keep: int = KEEP, model=None) -> None:
+        self.tokenizer, self.keep, self.model = tokenizer, keep, model
         self.clear()
 
     def clear(self) -> None:
@@ -206,9 +237,16 @@ class Pieces:
         if len(self.place) > self.keep:
             self.clear()
         if new := [p for p in pieces if p not in self.place]:
-            ids, lengths = [], []
-            for i in range(0, len(new), self.TOGETHER):
-                some = new[i : i + self.TOGETHER]
+            words, rest = [], new
+            if self.model is not None:
+                words = [p for p in new if p.isascii() and p.isalpha() and p.islower()]
+                rest = [p for p in new if not (p.isascii() and p.isalpha() and p.islower())]
+                new = words + rest
+            found = [[t.id for t in self.model.tokenize(p)] for p in words]
+            lengths = [np.fromiter(map(len, found), np.int64, len(found))]
+            ids = [np.fromiter((i for x in found for i in x), np.int32, int(lengths[0].sum()))]
+            for i in range(0, len(rest), self.TOGETHER):
+                some = rest[i : i + self.TOGETHER]
                 found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
                 sizes = np.fromiter(map(len, some), np.int64, len(some)) + 1
                 owner = np.searchsorted(np.cumsum(sizes) - sizes, np.array([x for x, _ in found.offsets], np.int64), side="right") - 1
@@ -222,8 +260,16 @@ class Pieces:
         return self.starts[at].astype(np.int64), self.lengths[at].astype(np.int64)
 
 
+def gathered(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pool's runs number `at`, one after the other, and where each ends."""
+    lengths = lengths[at]
+    ends = np.cumsum(lengths)
+    # From each place to the next one, the pool is read on; where a run begins, from its start.
+    return pool[np.repeat(starts[at] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)], ends
+
+
 @lru_cache(maxsize=4)
-def encoder(path: str, keep: int = 300_000) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+def encoder(path: str, keep: int = KEEP) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
     """Whole texts to their ids, one after the other, and the number of ids of each."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
@@ -237,17 +283,25 @@ def encoder(path: str, keep: int = 300_000) -> Callable[[pa.Array], tuple[np.nda
 
     if not cuts_at_blanks(tokenizer, path):
         return whole
-    known = Pieces(tokenizer, keep)
+    apart = cuts_at_letters(tokenizer, path)
+    known = Pieces(tokenizer, keep, tokenizer.model if apart else None)
+
+    def of(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A pool of ids, and the first place in it and the length of each distinct piece."""
+        if not apart:
+            starts, lengths = known.of(pieces.to_pylist())
+            return known.pool, starts, lengths
+        parts = runs_apart(pieces)
+        coded = parts.flatten().dictionary_encode()
+        starts, lengths = known.of(coded.dictionary.to_pylist())
+        pool, ends = gathered(known.pool, starts, lengths, coded.indices.to_numpy(zero_copy_only=False))
+        edges = np.concatenate([[0], ends])[np.asarray(parts.offsets) - parts.offsets[0].as_py()]
+        return pool, edges[:-1], np.diff(edges)
 
     def by_pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         cut = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
         coded = cut.flatten().dictionary_encode()
-        at = coded.indices.to_numpy(zero_copy_only=False)
-        starts, lengths = known.of(coded.dictionary.to_pylist())
-        lengths = lengths[at]
-        ends = np.cumsum(lengths)
-        within = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - lengths, lengths)
-        ids = known.pool[np.repeat(starts[at], lengths) + within]
+        ids, ends = gathered(*of(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False))
         edges = np.concatenate([[0], ends])[np.asarray(cut.offsets) - cut.offsets[0].as_py()]
         return ids, np.diff(edges)
 

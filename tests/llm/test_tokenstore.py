@@ -69,3 +69,20 @@ def test_pieces_equal_whole_texts():
     encode, tokenizer = tokenstore.encoder(PATH, 50), Tokenizer.from_file(PATH)
     for text in ["", " a  b c\x1cd", "it's <|endoftext|> don't", "é ́a ΣΣ İ", "ﬁ 12345 a1b2 ...!?\r\n x", "\x85 x　y"] * 3:
         assert encode(pa.array([text]))[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_words_are_encoded_once(monkeypatch):
+    """Case and punctuation around a word make no new piece; ids stay those of whole texts, of any printable ASCII too."""
+    tokenstore.encoder.cache_clear()
+    asked, of = [], tokenstore.Pieces.of
+    monkeypatch.setattr(tokenstore.Pieces, "of", lambda self, pieces: asked.extend(p for p in pieces if p not in self.place) or of(self, pieces))
+    encode, tokenizer = tokenstore.encoder(PATH), Tokenizer.from_file(PATH)
+    text = " ".join(f"{a}{w}{b}" for w in ("streets", "Streets", "STREETS") for a in ("", "(", "#") for b in ("", ",", ".", "...!", "%%%"))
+    assert encode(pa.array([text]))[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(asked) < 20
+    rng = np.random.default_rng(5)
+    chars = [*map(chr, range(32, 127)), *"'<|>sStT", "\u0301", "\u0331", "\u00c9", "<|endoftext|>", "<|ENDOFTEXT|>"]
+    texts = ["".join(chars[i] for i in rng.integers(0, len(chars), 40)) for _ in range(2000)]
+    ids, counts = encode(pa.array(texts))
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [*map(len, want)] and ids.tolist() == [i for x in want for i in x]
