@@ -39,7 +39,7 @@ def joined(name: str) -> str:
 
 
 def scored(spark: SparkSession, d: str) -> DataFrame:
-    return ClaimScreen(CFG).detect(claims_from_star(spark, d))
+    return ClaimScreen(CFG).detect(claims_from_star(spark, d, placed=True), placed=True)
 
 
 def scored_rows(spark: SparkSession, d: str) -> DataFrame:

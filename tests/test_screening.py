@@ -5,15 +5,19 @@ import random
 import re
 from decimal import Decimal
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from claimscreen import ClaimScreen, ScreenConfig, cli, job
+from claimscreen import ClaimScreen, ScreenConfig, cli, job, queries
 from claimscreen.operators import billing, duplicates, first_digit, geographic, outliers
+from claimscreen.operators.grouped import packed, unpacked
 from claimscreen.plans import reports
 from claimscreen.schema import CLAIM_SCHEMA, duplicate_ids, quality_report
 from claimscreen.sources import generate, io
+from claimscreen.sources.star_schema import claims_from_star
 from claimscreen.streaming.incremental import screen_new_files
+from tests.oracle import assert_same
 
 SCHEMA = "claim_id string, patient_id string, provider_id string, procedure_code string, service_date date, charge_amount decimal(10,2), patient_state string, provider_state string"
 PLACES = SCHEMA + ", patient_lat double, patient_lon double, provider_lat double, provider_lon double"
@@ -241,3 +245,54 @@ def test_scores_by_the_single_operators(spark, nonnegative):
     copies = {r["claim_id"]: (r["is_duplicate"], r["duplicate_of"]) for r in duplicates.find_duplicates(df, cfg).collect()}
     assert got == {k: (v, *copies[k]) for k, v in want.items()} and len(got) == len(rows)
     assert sum(v is not None for _, v in copies.values()) > 60
+
+
+def test_packed_numbers_come_back(spark):
+    """Numbers that fill their bits, need one more, are negative or missing."""
+    values = [(a, b) for a in (0, 1, 7, 8, -1, None, 2**62) for b in (0, 2**31 - 1, 2**31, -(2**40), None)]
+    rows = spark.createDataFrame([(str(i), *v) for i, v in enumerate(values)], "k string, a bigint, b bigint")
+    longs = [{"a": 3, "absent": 5}, {"b": 31}]
+    small = packed(rows, longs, "k")
+    assert small.columns == ["__small0", "__small1", "__wide", "k"]
+    assert {int(r["k"]): (r["a"], r["b"]) for r in unpacked(small, longs, rows.columns, "k").collect()} == dict(enumerate(values))
+    assert small.filter("__wide is null").count() == 3 * 2
+
+
+def test_star_claims_travel_packed(spark):
+    """Texts of claims are made after the shuffles: the scoring plan over the star schema moves no whole claims."""
+    plan = queries.scored(spark, "/root/testdata/sf0.001")._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^]]*)\]\nArguments: hashpartitioning\((\w+)", plan)
+    whole = [(names, by) for names, by in moved if "__wide#" in names and by.startswith("xxhash64")]
+    assert whole and not any("claim_id#" in names and "state_mismatch#" in names for names, _ in moved)
+    assert not any("l_shipdate#" in names or "__at#" in names and "claim_id#" in names for names, _ in moved)
+
+
+def test_star_claims_with_odd_keys(spark, tmp_path):
+    """Keys and prices beyond their bits, a missing date and a negative price, against the SQL."""
+    con = duckdb.connect()
+    star = "/root/testdata/sf0.001"
+    for t in ("nation", "region", "customer", "supplier", "part", "orders", "lineitem"):
+        con.execute(f"CREATE TABLE {t} AS SELECT * FROM '{star}/{t}.parquet'")
+    for t, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        con.execute(f"UPDATE {t} SET {key} = {key} + {2**33} WHERE {key} % 3 = 0")
+    for t, key in (("part", "p_partkey"), ("lineitem", "l_partkey")):
+        con.execute(f"UPDATE {t} SET {key} = {key} + {2**26} WHERE {key} % 5 = 0")
+    con.execute("UPDATE lineitem SET l_extendedprice = -l_extendedprice WHERE l_linenumber = 2")
+    con.execute("UPDATE lineitem SET l_extendedprice = l_extendedprice * 100 WHERE l_linenumber = 3")
+    for t in ("nation", "region", "customer", "supplier", "part", "orders", "lineitem"):
+        con.execute(f"COPY {t} TO '{tmp_path}/{t}.parquet' (FORMAT PARQUET)")
+    plain, placed = (claims_from_star(spark, str(tmp_path), placed=p) for p in (False, True))
+    assert plain.exceptAll(placed.drop("__at")).count() == 0 and placed.filter(F.col("__at") != F.xxhash64("provider_id", "service_date")).count() == 0
+    assert plain.count() == placed.count() > 6000
+    sql = f"{queries._CLAIMS} SELECT claim_id, patient_id, provider_id, procedure_code, CAST(service_date AS VARCHAR) AS service_date, cents, patient_state, provider_state FROM claims WHERE cents > 0"
+    got = plain.filter("charge_amount > 0").selectExpr("claim_id", "patient_id", "provider_id", "procedure_code", "cast(service_date as string) as service_date", "cast(charge_amount * 100 as bigint) as cents", "patient_state", "provider_state")
+    assert_same(got, sql, str(tmp_path))
+
+
+def test_marks_travel_short(spark):
+    """What is found elsewhere comes back by place without carrying it, and marks are not dealt out to be made unique."""
+    df = spark.createDataFrame([claim(i) for i in range(4)], SCHEMA)
+    plan = ClaimScreen().detect(df)._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^]]*)\]\nArguments: hashpartitioning", plan)
+    assert not any("__at#" in names and "state_mismatch#" not in names for names in moved)
+    assert not any("max#" in names for names in moved)
